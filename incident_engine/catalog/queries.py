@@ -1,6 +1,9 @@
 """Named queries over the ``events`` table of a data directory.
 
-Raw incidents are derived from all rows of ``events``; every query runs over all of them.
+Raw incidents are derived from all rows of ``events`` and every query runs over all of them.
+The derived rows are landed as a parquet table in the shared folder once per session, as raw
+files would lie there, so that each query scans only the columns it needs and pushes its null
+filters into the scan.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from incident_engine.operators import (
     temporal,
 )
 from incident_engine.plans import views
-from incident_engine.scratch import scratch_path
+from incident_engine.scratch import has_shared_dir, scratch_path
 from incident_engine.sources import files, sinks, synth
 from incident_engine.sources.adapters import violations_from_events
 from incident_engine.streaming import surges
@@ -51,8 +54,21 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, f"{sf_dir}/events.parquet")
 
 
+_landed: dict[tuple[str, str], str] = {}
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return violations_from_events(events(spark, sf_dir))
+    """Raw incidents of a data directory, landed on first use; derived on the fly without a
+    shared folder."""
+    derived = violations_from_events(events(spark, sf_dir))
+    if not has_shared_dir(spark):
+        return derived
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landed:
+        path = scratch_path(spark, "raw_incidents")
+        sinks.write_parquet(derived, path)
+        _landed[key] = path
+    return spark.read.schema(C.RAW_SCHEMA).parquet(_landed[key])
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:

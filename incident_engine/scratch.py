@@ -10,12 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+def _named_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
+
+
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
+def has_shared_dir(spark: SparkSession) -> bool:
+    """Whether there is a folder that all tasks of the session can write to and read."""
+    return _is_local(spark) or _named_dir(spark) is not None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
-    named = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
+    named = _named_dir(spark)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not _is_local(spark):
         raise ValueError(f"set {SETTING} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="incident-engine-")
     spark.sparkContext.setCheckpointDir(folder)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incident_engine.functions.text import zero_padded
-
 # Types by index, hotspot positions in millionths of a degree (longitudes west).
 EVENT_TYPES = (
     "DUI", "Reckless Driving", "Red Light Violation", "Speeding", "Using Mobile Phone",
@@ -21,8 +21,8 @@ def _pick(values: tuple, index: Column) -> Column:
 
 
 def _degrees(micro: Column) -> Column:
-    whole = F.floor(micro / 1_000_000)
-    return F.concat_ws(".", whole.cast("string"), zero_padded(micro % 1_000_000, 6))
+    """Millionths of a degree as text with six decimals."""
+    return (micro.cast("decimal(12,0)") * F.lit(Decimal("0.000001"))).cast("string")
 
 
 def violations_from_events(events: DataFrame) -> DataFrame:
@@ -34,9 +34,9 @@ def violations_from_events(events: DataFrame) -> DataFrame:
 
     kind = _pick(EVENT_TYPES, (event * 31 + user) % len(EVENT_TYPES))
     lat = _pick(LAT_MICRO, user % 5) + ((event * 7919) % 21 - 10) * 1000
-    lon = _pick(LON_MICRO, user % 5) + ((event * 104729) % 5 - 2) * 1000
+    lon = -_pick(LON_MICRO, user % 5) - ((event * 104729) % 5 - 2) * 1000
     return events.select(
-        F.when(~every(103), F.concat(F.lit("V"), zero_padded(event, 4))).alias("Violation_Id"),
+        F.when(~every(103), F.format_string("V%04d", event)).alias("Violation_Id"),
         F.when(every(97), "not-a-date")
         .otherwise(F.substring(F.col("ts").cast("string"), 1, 19))
         .alias("Timestamp"),
@@ -47,7 +47,7 @@ def violations_from_events(events: DataFrame) -> DataFrame:
         F.when(
             ~every(101),
             F.when(every(89), "Main St & 5th Ave").otherwise(
-                F.concat(_degrees(lat), F.lit(",-"), _degrees(lon))
+                F.concat_ws(",", _degrees(lat), _degrees(lon))
             ),
         ).alias("Location"),
     )
