@@ -60,11 +60,11 @@ _landed: dict[tuple[str, str], str] = {}
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw incidents of a data directory, landed on first use; derived on the fly without a
     shared folder."""
-    derived = violations_from_events(events(spark, sf_dir))
-    if not has_shared_dir(spark):
-        return derived
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
+        derived = violations_from_events(events(spark, sf_dir))
+        if not has_shared_dir(spark):
+            return derived
         path = scratch_path(spark, "raw_incidents")
         sinks.write_parquet(derived, path)
         _landed[key] = path
@@ -85,7 +85,8 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def time_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return temporal.time_type_aggregation(raw(spark, sf_dir))
+    """Day x hour x type counts without an order, as the input of other operators."""
+    return temporal.time_type_counts(raw(spark, sf_dir))
 
 
 def place_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,7 +293,7 @@ QUERIES: dict[str, Query] = {
     "count_by_day_of_week": over(incidents, temporal.count_by, "day_of_week"),
     "count_by_month": over(incidents, temporal.count_by, "month"),
     "count_by_year": over(incidents, temporal.count_by, "year"),
-    "time_type_aggregation": time_type,
+    "time_type_aggregation": over(raw, temporal.time_type_aggregation),
     "weekday_hour_type_counts": weekday_hours,
     # places
     "violations_per_location": over(raw, locations.violations_per_location),

@@ -52,10 +52,10 @@ def parsed_only(df: DataFrame, column: str = "timestamp_parsed") -> DataFrame:
 
 
 def ensure_timestamp(df: DataFrame, source: str = "timestamp") -> DataFrame:
-    """Add ``timestamp_parsed`` from a text column when it is absent."""
+    """Add ``timestamp_parsed`` from a text column in any ISO form when it is absent."""
     if "timestamp_parsed" in df.columns:
         return df
-    return df.withColumn("timestamp_parsed", parse_timestamp(F.col(source)))
+    return df.withColumn("timestamp_parsed", F.col(source).try_cast("timestamp_ntz"))
 
 
 def reject_counts(raw: DataFrame) -> DataFrame:

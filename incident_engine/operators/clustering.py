@@ -93,7 +93,7 @@ def lloyd_step(points: DataFrame, centres: Centres, weight: str | None = None) -
     members = assign_nearest(points, centres).select(
         F.col("prediction").alias("cluster_id"), "lat", "lon", w.alias("w")
     )
-    spine = spark.range(len(centres)).select(
+    spine = spark.range(0, len(centres), 1, 1).select(
         F.col("id").cast("int").alias("cluster_id"),
         F.lit(0.0).alias("lat"),
         F.lit(0.0).alias("lon"),

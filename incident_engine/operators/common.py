@@ -73,7 +73,7 @@ def sum_over_domain(
     """
     key_type, value_type = df.schema[key].dataType, df.schema[value].dataType
     spine = (
-        df.sparkSession.range(1)
+        df.sparkSession.range(0, 1, 1, 1)
         .select(F.explode(F.array(*map(F.lit, domain)).cast(T.ArrayType(key_type))).alias(key))
         .withColumn(value, F.lit(fill).cast(value_type))
     )

@@ -44,13 +44,12 @@ def weekday_hour_type_counts(
     )
 
 
-def time_type_from_counts(counts: DataFrame) -> DataFrame:
-    """Named, ordered day x hour x type table from :func:`weekday_hour_type_counts` (A3, O2)."""
+def named_time_type(counts: DataFrame) -> DataFrame:
+    """Day x hour x type table, unordered, summed from :func:`weekday_hour_type_counts` (A3)."""
     return (
         counts.where(F.col("violation_type").isNotNull())
         .groupBy("weekday", "Hour", "violation_type")
         .agg(F.sum("n").alias("count"))
-        .orderBy("weekday", "Hour", "violation_type")
         .select(
             timeparts.weekday_name(F.col("weekday")).alias("DayOfWeek"),
             "Hour",
@@ -60,24 +59,22 @@ def time_type_from_counts(counts: DataFrame) -> DataFrame:
     )
 
 
-def time_type_aggregation(raw: DataFrame) -> DataFrame:
-    """Rows per weekday name, hour and type of the raw table.
+def time_type_counts(raw: DataFrame) -> DataFrame:
+    """Rows per weekday name, hour and type of the raw table, unordered (A3).
 
     Rows without id or location count, rows without a readable timestamp or a type do not.
     """
-    stamped = raw.select(
-        timeparts.parse_timestamp(F.col("Timestamp")).alias("stamp"), "Violation_Type"
-    )
     return (
-        parsed_only(stamped, "stamp")
-        .where(F.col("Violation_Type").isNotNull())
+        raw.select(
+            timeparts.parse_timestamp(F.col("Timestamp")).alias("stamp"), "Violation_Type"
+        )
+        .where(F.col("stamp").isNotNull() & F.col("Violation_Type").isNotNull())
         .groupBy(
             timeparts.weekday_index(F.col("stamp")).alias("weekday"),
             F.hour("stamp").alias("Hour"),
             "Violation_Type",
         )
         .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy("weekday", "Hour", "Violation_Type")
         .select(
             timeparts.weekday_name(F.col("weekday")).alias("DayOfWeek"),
             "Hour",
@@ -85,3 +82,8 @@ def time_type_aggregation(raw: DataFrame) -> DataFrame:
             "count",
         )
     )
+
+
+def time_type_aggregation(raw: DataFrame) -> DataFrame:
+    """:func:`time_type_counts` from Monday to Sunday, then by hour and type."""
+    return time_type_counts(raw).orderBy(day_order(), "Hour", "Violation_Type")

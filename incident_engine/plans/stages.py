@@ -102,7 +102,7 @@ def write_time_results(counts: DataFrame, layout: Layout) -> None:
 
 def write_time_type_results(counts: DataFrame, layout: Layout) -> None:
     """Day x hour x type counts of all raw rows."""
-    table = temporal.time_type_from_counts(counts)
+    table = temporal.named_time_type(counts)
     order = [temporal.day_order(), "Hour", "Violation_Type"]
     sinks.write_csv(table, layout.output("time_type_aggregation.csv"), order)
 

@@ -27,7 +27,7 @@ SPARK_TYPES = {
 
 def normal(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 9)
+        return "nan" if math.isnan(value) else value
     return value
 
 
