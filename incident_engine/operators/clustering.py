@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from incident_engine import constants as C
 from incident_engine.functions import geo
-from incident_engine.operators.common import incidents, largest, total
+from incident_engine.operators.common import incidents, largest, short_sorted, total
 from incident_engine.scratch import cut_lineage
 
 Centres = Sequence[Sequence[float]]
@@ -51,6 +51,7 @@ def kmeans_centres(
 
     The random start depends on how rows are spread and ordered, so both are fixed first:
     the same points and ``partitions`` give the same centres however the input was split.
+    The compact table is kept while fitting, as the start alone reads it several times.
     """
     spark = points.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -58,12 +59,16 @@ def kmeans_centres(
         weighted_points(points, weight)
         .repartition(n, "lat", "lon")
         .sortWithinPartitions("lat", "lon")
+        .persist()
     )
-    vectors = VectorAssembler(inputCols=["lat", "lon"], outputCol="features").transform(spread)
-    model = KMeans(
-        k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", weightCol="weight"
-    ).fit(vectors)
-    return sorted((float(c[0]), float(c[1])) for c in model.clusterCenters())
+    try:
+        vectors = VectorAssembler(inputCols=["lat", "lon"], outputCol="features").transform(spread)
+        model = KMeans(
+            k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", weightCol="weight"
+        ).fit(vectors)
+        return sorted((float(c[0]), float(c[1])) for c in model.clusterCenters())
+    finally:
+        spread.unpersist()
 
 
 def cluster_hotspots(
@@ -183,7 +188,8 @@ def cluster_rows(labelled: DataFrame) -> DataFrame:
 
 def cluster_sizes(labelled: DataFrame, weight: str | None = None) -> DataFrame:
     """Incidents per cluster."""
-    return labelled.groupBy("prediction").agg(incidents(weight).alias("count")).orderBy("prediction")
+    sizes = labelled.groupBy("prediction").agg(incidents(weight).alias("count"))
+    return short_sorted(sizes, "prediction")
 
 
 def cluster_profile(labelled: DataFrame, weight: str | None = None) -> DataFrame:
@@ -198,18 +204,14 @@ def cluster_profile(labelled: DataFrame, weight: str | None = None) -> DataFrame
         total(F.col("lon"), weight).alias("lon_sum"),
     )
     size = F.sum("n")
-    return (
-        per_type.groupBy(F.col("prediction").alias("cluster_id"))
-        .agg(
-            F.round(F.sum("lat_sum") / size, 6).alias("center_lat"),
-            F.round(F.sum("lon_sum") / size, 6).alias("center_lon"),
-            size.alias("violation_count"),
-            F.coalesce(
-                largest("violation_type", F.col("n")), F.lit(C.DEFAULT_DOMINANT)
-            ).alias("dominant_violation"),
-        )
-        .orderBy("cluster_id")
+    dominant = F.coalesce(largest("violation_type", F.col("n")), F.lit(C.DEFAULT_DOMINANT))
+    profile = per_type.groupBy(F.col("prediction").alias("cluster_id")).agg(
+        F.round(F.sum("lat_sum") / size, 6).alias("center_lat"),
+        F.round(F.sum("lon_sum") / size, 6).alias("center_lon"),
+        size.alias("violation_count"),
+        dominant.alias("dominant_violation"),
     )
+    return short_sorted(profile, "cluster_id")
 
 
 def map_centre(labelled: DataFrame, weight: str | None = None) -> DataFrame:

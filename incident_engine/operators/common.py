@@ -31,6 +31,15 @@ def descending_then(value: str, *ties: str) -> list[Column]:
     return [F.desc(value), *(F.asc(t) for t in ties)]
 
 
+def short_sorted(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """Sort a result of a few rows (hours, weekdays, clusters) in one task.
+
+    The aggregation before it still runs on all tasks; gathering its rows first spares the
+    sampling job of a range-partitioned sort.
+    """
+    return df.repartition(1).orderBy(*keys)
+
+
 def top_k(df: DataFrame, n: int, by: str, *ties: str) -> DataFrame:
     """The ``n`` rows with the highest ``by`` (L1-L5); planned as a per-task top-n."""
     return df.orderBy(*descending_then(by, *ties)).limit(n)

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from incident_engine.functions import timeparts
 from incident_engine.operators.cleaning import parsed_only
-from incident_engine.operators.common import incidents
+from incident_engine.operators.common import incidents, short_sorted
 
 
 def count_by(clean: DataFrame, part: str = "hour_of_day", weight: str | None = None) -> DataFrame:
     """Incidents per hour, weekday, month or year, in order."""
     key = timeparts.time_part(F.col("timestamp_parsed"), part).alias(part)
-    return clean.groupBy(key).agg(incidents(weight).alias("count")).orderBy(part)
+    return short_sorted(clean.groupBy(key).agg(incidents(weight).alias("count")), part)
 
 
 def day_order(column: str = "DayOfWeek") -> Column:

@@ -38,7 +38,8 @@ def corridors(location_counts: DataFrame, n: int = 15) -> DataFrame:
 def hourly_curve(time_type: DataFrame, types: Selection = None, days: Selection = None) -> DataFrame:
     """Count per hour over all 24 hours, 0 where there are none."""
     chosen = filters.by_type_and_day(time_type, types, days)
-    return common.sum_over_domain(chosen, "Hour", range(24), "count", 0).orderBy("Hour")
+    curve = common.sum_over_domain(chosen, "Hour", range(24), "count", 0)
+    return common.short_sorted(curve, "Hour")
 
 
 def daily_distribution(
@@ -51,14 +52,14 @@ def daily_distribution(
     else:
         domain = (days,) if isinstance(days, str) else tuple(days)
     result = common.sum_over_domain(chosen, "DayOfWeek", domain, "count", None)
-    return result.orderBy(temporal.day_order())
+    return common.short_sorted(result, temporal.day_order())
 
 
 def daily_totals(time_type: DataFrame, types: Selection = None) -> DataFrame:
     """Count per weekday over all seven days for selected types, 0 where there are none."""
     chosen = filters.by_type_and_day(time_type, types)
     result = common.sum_over_domain(chosen, "DayOfWeek", C.DAY_ORDER, "count", 0)
-    return result.orderBy(temporal.day_order())
+    return common.short_sorted(result, temporal.day_order())
 
 
 def category_breakdown(
