@@ -57,18 +57,21 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 _landed: dict[tuple[str, str], str] = {}
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw incidents of a data directory, landed on first use; derived on the fly without a
-    shared folder."""
+def raw_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the raw incidents of a data directory lie; writes them on first use."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
-        derived = violations_from_events(events(spark, sf_dir))
-        if not has_shared_dir(spark):
-            return derived
         path = scratch_path(spark, "raw_incidents")
-        sinks.write_parquet(derived, path)
+        sinks.write_parquet(violations_from_events(events(spark, sf_dir)), path)
         _landed[key] = path
-    return spark.read.schema(C.RAW_SCHEMA).parquet(_landed[key])
+    return _landed[key]
+
+
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw incidents of a data directory; derived on the fly where there is no shared folder."""
+    if not has_shared_dir(spark):
+        return violations_from_events(events(spark, sf_dir))
+    return spark.read.schema(C.RAW_SCHEMA).parquet(raw_path(spark, sf_dir))
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,12 +240,10 @@ def synthesize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streaming_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows as CSV files, streamed into clock-hour counts; rows past the watermark only."""
-    source, target = scratch_path(spark, "stream_csv"), scratch_path(spark, "stream_counts")
-    sinks.write_csv(raw(spark, sf_dir), source)
-    counts = surges.hourly_window_counts(
-        surges.stream_incidents_csv(spark, source), f"{STREAM_DELAY_HOURS} hours"
-    )
+    """Raw files streamed into clock-hour counts; hours that the watermark has passed."""
+    target = scratch_path(spark, "stream_counts")
+    stream = surges.stream_incidents(spark, raw_path(spark, sf_dir), "parquet")
+    counts = surges.hourly_window_counts(stream, f"{STREAM_DELAY_HOURS} hours")
     job = (
         counts.writeStream.outputMode("append")
         .format("parquet")
@@ -255,14 +256,11 @@ def streaming_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streaming_surges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows as CSV files, streamed into the hourly risk table after the last file."""
-    source, target = scratch_path(spark, "stream_csv"), scratch_path(spark, "stream_risk")
-    sinks.write_csv(raw(spark, sf_dir), source)
+    """Raw files streamed into the hourly risk table as it stands after the last file."""
+    target = scratch_path(spark, "stream_risk")
+    stream = surges.stream_incidents(spark, raw_path(spark, sf_dir), "parquet")
     job = (
-        surges.surge_alerts(
-            surges.stream_incidents_csv(spark, source),
-            lambda table, batch: sinks.write_parquet(table, target),
-        )
+        surges.surge_alerts(stream, lambda table, batch: sinks.write_parquet(table, target))
         .option("checkpointLocation", scratch_path(spark, "stream_state"))
         .trigger(availableNow=True)
         .start()

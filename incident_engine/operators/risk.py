@@ -26,11 +26,6 @@ def hour_type_counts(clean: DataFrame) -> DataFrame:
     )
 
 
-def primary_from_counts(counts: DataFrame) -> DataFrame:
-    """Most frequent type per hour; ties go to the first name, null types do not count."""
-    return counts.groupBy("Hour").agg(largest("violation_type", F.col("n")).alias("primary_violation"))
-
-
 def primary_violation_per_hour(clean: DataFrame) -> DataFrame:
     """Top row per hour as an ordered window, with its count."""
     order = Window.partitionBy("Hour").orderBy(F.desc("v_count"), "violation_type")

@@ -11,30 +11,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from incident_engine.constants import NA_TOKENS, RAW_SCHEMA
+from incident_engine.constants import RAW_SCHEMA
 from incident_engine.functions.text import null_if_na
 from incident_engine.operators.cleaning import clean
 from incident_engine.operators.risk import hour_type_counts, hourly_risk_from_counts
 
 
-def stream_incidents_csv(
-    spark: SparkSession, path: str, files_per_batch: int | None = None
+def stream_incidents(
+    spark: SparkSession, path: str, file_format: str = "csv", files_per_batch: int | None = None
 ) -> DataFrame:
-    """Raw incidents from CSV files as they arrive in a folder."""
-    reader = (
-        spark.readStream.schema(RAW_SCHEMA)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-    )
+    """Raw incidents from CSV or parquet files as they arrive in a folder."""
+    reader = spark.readStream.schema(RAW_SCHEMA)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    df = reader.csv(path)
-    return df.select(*(null_if_na(F.col(c), NA_TOKENS).alias(c) for c in df.columns))
+    if file_format != "csv":
+        return reader.format(file_format).load(path)
+    df = reader.option("header", True).option("enforceSchema", False).option("escape", '"').csv(path)
+    return df.select(*(null_if_na(F.col(c)).alias(c) for c in df.columns))
 
 
 def hourly_window_counts(raw: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Incidents per clock hour and type of a raw stream, final once ``delay`` has passed."""
+    """Incidents per clock hour and type of a raw stream, final once ``delay`` has passed.
+
+    Watermarks need zoned time, so run it with the session zone set to UTC.
+    """
     return (
         clean(raw)
         .withColumn("event_time", F.col("timestamp_parsed").cast("timestamp"))

@@ -131,7 +131,7 @@ def test_stream_in_two_files_equals_batch(spark, messy_raw, tmp_path):
     tables = []
     job = (
         surges.surge_alerts(
-            surges.stream_incidents_csv(spark, str(source), files_per_batch=1),
+            surges.stream_incidents(spark, str(source), files_per_batch=1),
             lambda table, batch: tables.append(rows(table)),
         )
         .option("checkpointLocation", str(tmp_path / "state"))
@@ -152,7 +152,7 @@ def test_stream_windows_close_after_the_delay(spark, tmp_path):
         "violation_type Violation_Type", "location Location",
     )
     sinks.write_csv(raw, source)
-    counts = surges.hourly_window_counts(surges.stream_incidents_csv(spark, source), "2 hours")
+    counts = surges.hourly_window_counts(surges.stream_incidents(spark, source), "2 hours")
     job = (
         counts.writeStream.format("parquet")
         .option("checkpointLocation", str(tmp_path / "state"))

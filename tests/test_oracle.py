@@ -43,10 +43,18 @@ def database(sf):
     return con
 
 
+def assert_plan_is_distributed(df):
+    """No join, no cross product and no Python worker in the plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for word in ("Join", "CartesianProduct", "Python", "Pandas", "Arrow"):
+        assert word not in plan, word
+
+
 @pytest.mark.parametrize("sf", os.environ.get("TEST_SF", "sf0.001 sf0.01").split())
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name, sf):
     df = QUERIES[name](spark, f"{DATA}/{sf}")
+    assert_plan_is_distributed(df)
     result = database(sf).sql(SQL[name])
     assert sorted(df.columns) == sorted(result.columns)
     expected_types = dict(zip(result.columns, map(str, result.types)))
@@ -61,6 +69,24 @@ def test_query_without_sql_gives_rows(spark, name):
     assert QUERIES[name](spark, f"{DATA}/sf0.001").count() > 0
 
 
+@pytest.mark.parametrize(
+    "name", ["hourly_risk_anomaly", "cluster_profile", "kpis", "lloyd_clusters", "hexbin_density"]
+)
+def test_result_does_not_depend_on_partitions(spark, name):
+    def result():
+        df = QUERIES[name](spark, f"{DATA}/sf0.001")
+        return rows_of(df.columns, df.collect())
+
+    expected = result()
+    for key, value in (("spark.sql.shuffle.partitions", "1"), ("spark.sql.adaptive.enabled", "false")):
+        before = spark.conf.get(key)
+        spark.conf.set(key, value)
+        try:
+            assert result() == expected
+        finally:
+            spark.conf.set(key, before)
+
+
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
