@@ -306,7 +306,8 @@ def corridors(n: int) -> str:
 
 
 def corridor_table(where: str = "") -> str:
-    number = "TRY_CAST(regexp_extract(trim(split_part(\"Location\", ',', {})), '^[-+]?[0-9]+[.]?[0-9]*') AS DOUBLE)"
+    part = "trim(split_part(\"Location\", ',', {}))"
+    number = f"TRY_CAST(regexp_extract({part}, '^[-+]?[0-9]+[.]?[0-9]*') AS DOUBLE)"
     return with_(
         f"""{PLACES},
 ten AS (SELECT *, row_number() OVER (ORDER BY "count" DESC, "Location") AS n FROM places

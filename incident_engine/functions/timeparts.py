@@ -19,6 +19,11 @@ def parse_timestamp(text: Column) -> Column:
     return F.when(text.rlike(TIMESTAMP_SHAPE), text.try_cast("timestamp_ntz"))
 
 
+def cast_timestamp(text: Column) -> Column:
+    """:func:`parse_timestamp` for texts already known to parse: no second shape test."""
+    return text.try_cast("timestamp_ntz")
+
+
 def weekday_index(ts: Column) -> Column:
     """Monday = 0 .. Sunday = 6."""
     return F.weekday(ts)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incident_engine.functions.timeparts import parse_timestamp
+from incident_engine.functions.timeparts import cast_timestamp, parse_timestamp
 
 REQUIRED = ("violation_id", "timestamp_parsed", "location")
 
@@ -20,11 +22,13 @@ def underscore_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*(c.strip().replace(" ", "_") for c in df.columns))
 
 
-def to_clean_columns(raw: DataFrame) -> DataFrame:
+def to_clean_columns(
+    raw: DataFrame, parse: Callable[[Column], Column] = parse_timestamp
+) -> DataFrame:
     """Rename and parse into the four cleaned columns, keeping every row."""
     return raw.select(
         F.col("Violation_Id").cast("string").alias("violation_id"),
-        parse_timestamp(F.col("Timestamp")).alias("timestamp_parsed"),
+        parse(F.col("Timestamp")).alias("timestamp_parsed"),
         F.col("Violation_Type").alias("violation_type"),
         F.col("Location").alias("location"),
     )
@@ -37,8 +41,17 @@ def is_complete() -> Column:
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    """Typed incidents, rows without id, timestamp or location removed."""
-    return to_clean_columns(raw).where(is_complete())
+    """Typed incidents, rows without id, timestamp or location removed.
+
+    The rows are selected by their text, so that the shape of a timestamp is tested once: a
+    filter on the parsed column would be pushed below the projection and parse again there.
+    """
+    kept = raw.where(
+        F.col("Violation_Id").isNotNull()
+        & F.col("Location").isNotNull()
+        & parse_timestamp(F.col("Timestamp")).isNotNull()
+    )
+    return to_clean_columns(kept, cast_timestamp)
 
 
 def with_acceptance(raw: DataFrame) -> DataFrame:

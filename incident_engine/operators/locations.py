@@ -23,11 +23,16 @@ def location_counts(
     )
 
 
+def rank_locations(counts: DataFrame) -> DataFrame:
+    """A location count table, most frequent first (O3)."""
+    return counts.orderBy(*descending_then("count", "Location"))
+
+
 def violations_per_location(
     df: DataFrame, column: str = "Location", weight: str | None = None
 ) -> DataFrame:
-    """Rows per location, most frequent first."""
-    return location_counts(df, column, weight).orderBy(*descending_then("count", "Location"))
+    """Rows per location, most frequent first."""
+    return rank_locations(location_counts(df, column, weight))
 
 
 def top_locations(counts: DataFrame, n: int = 10) -> DataFrame:

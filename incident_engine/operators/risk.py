@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from incident_engine import constants as C
@@ -115,10 +115,16 @@ def time_type_matrix(clean: DataFrame) -> DataFrame:
     return time_type_matrix_from_counts(hour_type_counts(clean))
 
 
-def location_risk(
-    clean: DataFrame, weight: str | None = None, high: int = C.HIGH_SEVERITY
+def location_totals(
+    clean: DataFrame,
+    weight: str | None = None,
+    high: int = C.HIGH_SEVERITY,
+    extra: tuple[Column, ...] = (),
 ) -> DataFrame:
-    """Volume, risk and number of severe incidents per location, riskiest first."""
+    """Volume, risk and number of severe incidents per location, unordered.
+
+    ``extra`` aggregates are computed along with them.
+    """
     severity = F.col("severity_score")
     return (
         with_severity(clean)
@@ -127,18 +133,29 @@ def location_risk(
             incidents(weight).alias("total_violations"),
             total(severity, weight).alias("total_risk_score"),
             total((severity >= high).cast("bigint"), weight).alias("high_severity_count"),
+            *extra,
         )
-        .select(
-            "location",
-            "total_violations",
-            "total_risk_score",
-            (F.col("total_risk_score") / F.col("total_violations")).alias("avg_risk_score"),
-            "high_severity_count",
-        )
-        .orderBy(*descending_then("total_risk_score", "location"))
     )
 
 
+def rank_location_risk(totals: DataFrame) -> DataFrame:
+    """Location totals with their mean severity, riskiest first."""
+    return totals.select(
+        "location",
+        "total_violations",
+        "total_risk_score",
+        (F.col("total_risk_score") / F.col("total_violations")).alias("avg_risk_score"),
+        "high_severity_count",
+    ).orderBy(*descending_then("total_risk_score", "location"))
+
+
+def location_risk(
+    clean: DataFrame, weight: str | None = None, high: int = C.HIGH_SEVERITY
+) -> DataFrame:
+    """Volume, mean and total risk and severe incidents per location (R2)."""
+    return rank_location_risk(location_totals(clean, weight, high))
+
+
 def top_risk_hours(hourly: DataFrame, n: int = 3) -> DataFrame:
     """The ``n`` hours with the most risk points (L4)."""
     return top_k(hourly, n, "total_risk_score", "Hour").select(

@@ -64,14 +64,15 @@ def time_type_counts(raw: DataFrame) -> DataFrame:
 
     Rows without id or location count, rows without a readable timestamp or a type do not.
     """
+    text = F.col("Timestamp")
+    stamp = timeparts.cast_timestamp(text)
     return (
-        raw.select(
-            timeparts.parse_timestamp(F.col("Timestamp")).alias("stamp"), "Violation_Type"
+        raw.where(
+            timeparts.parse_timestamp(text).isNotNull() & F.col("Violation_Type").isNotNull()
         )
-        .where(F.col("stamp").isNotNull() & F.col("Violation_Type").isNotNull())
         .groupBy(
-            timeparts.weekday_index(F.col("stamp")).alias("weekday"),
-            F.hour("stamp").alias("Hour"),
+            timeparts.weekday_index(stamp).alias("weekday"),
+            F.hour(stamp).alias("Hour"),
             "Violation_Type",
         )
         .agg(F.count(F.lit(1)).alias("count"))

@@ -6,9 +6,10 @@ How the passes are arranged:
   Everything after reads columns of that table, so text parsing is never repeated.
 * One pass over (timestamp, type) gives a table of at most 336 rows per type, from which the
   per-hour, day x hour x type, hourly risk and hour x type results are summed.
-* One pass over (location, type) gives counts per distinct location and type. It is stored,
-  and location ranking, location risk, grid, clustering and centroids read it instead of the
-  incidents. Coordinates are parsed once per distinct location.
+* One pass over (location, type) gives counts per distinct location and type, and from these
+  totals per location. Both are stored, and location ranking, location risk, grid, clustering
+  and centroids read them instead of the incidents: the two rankings are sorts without another
+  aggregation, and coordinates are parsed once per distinct location.
 * The row-level cluster labels are a projection over the accepted rows: no shuffle.
 """
 
@@ -88,6 +89,15 @@ def location_type_counts(staged: DataFrame, layout: Layout) -> DataFrame:
     return staged.sparkSession.read.schema(counts.schema).parquet(path)
 
 
+def location_totals(counts: DataFrame, layout: Layout) -> DataFrame:
+    """All raw rows and the risk totals of accepted rows per location, stored as a table."""
+    path = layout.aggregation("location_totals")
+    raw_rows = F.sum("n_raw").alias("n_raw")
+    totals = risk.location_totals(counts, weight="n_accepted", extra=(raw_rows,))
+    sinks.write_parquet(totals, path)
+    return counts.sparkSession.read.schema(totals.schema).parquet(path)
+
+
 def write_time_results(counts: DataFrame, layout: Layout) -> None:
     """Per-hour counts of accepted rows."""
     per_hour = (
@@ -107,45 +117,49 @@ def write_time_type_results(counts: DataFrame, layout: Layout) -> None:
     sinks.write_csv(table, layout.output("time_type_aggregation.csv"), order)
 
 
-def write_location_results(counts: DataFrame, layout: Layout) -> None:
+def write_location_results(totals: DataFrame, layout: Layout) -> None:
     """Location ranking of all raw rows and its head."""
-    ranking = locations.violations_per_location(counts, "location", "n_raw")
-    sinks.write_csv(ranking, layout.output("violations_per_location_csv"))
-    head = locations.top_locations(
-        locations.location_counts(counts, "location", "n_raw")
+    counts = totals.select(F.col("location").alias("Location"), F.col("n_raw").alias("count"))
+    sinks.write_csv(
+        locations.rank_locations(counts), layout.output("violations_per_location_csv")
+    )
+    sinks.write_csv(
+        locations.top_locations(counts),
+        layout.output("top_locations_csv"),
+        [F.desc("count"), "Location"],
     )
-    sinks.write_csv(head, layout.output("top_locations_csv"), [F.desc("count"), "Location"])
 
 
 def write_hotspot_results(
-    staged: DataFrame, counts: DataFrame, layout: Layout, k: int, seed: int
+    staged: DataFrame, counts: DataFrame, totals: DataFrame, layout: Layout, k: int, seed: int
 ) -> None:
     """Grid counts, k-means labels and centroids of accepted rows."""
-    places = spatial.extract_coordinates(counts.where("n_accepted > 0"))
+    places = spatial.extract_coordinates(totals.where("total_violations > 0"))
     sinks.write_csv(
-        spatial.grid_counts(places, weight="n_accepted"), layout.output("grid_counts_csv")
+        spatial.grid_counts(places, weight="total_violations"), layout.output("grid_counts_csv")
     )
     rows = spatial.extract_coordinates(staged.where("accepted"))
     if clustering.has_at_least(rows, k):
-        centres = clustering.kmeans_centres(places, k, seed, weight="n_accepted")
+        centres = clustering.kmeans_centres(places, k, seed, weight="total_violations")
     else:
         centres = [(0.0, 0.0)]
     labelled = clustering.assign_nearest(rows, centres)
     sinks.write_csv(clustering.cluster_rows(labelled), layout.output("hotspot_clusters_csv"))
+    typed_places = spatial.extract_coordinates(counts.where("n_accepted > 0"))
     profile = clustering.cluster_profile(
-        clustering.assign_nearest(places, centres), weight="n_accepted"
+        clustering.assign_nearest(typed_places, centres), weight="n_accepted"
     )
     sinks.write_csv(profile, layout.output("cluster_centroids_csv"), ["cluster_id"])
 
 
-def write_risk_results(time: DataFrame, places: DataFrame, layout: Layout) -> None:
+def write_risk_results(time: DataFrame, totals: DataFrame, layout: Layout) -> None:
     """Hourly risk, location risk and hour x type matrix of accepted rows."""
     per_hour = time.where("accepted").groupBy("Hour", "violation_type").agg(F.sum("n").alias("n"))
     sinks.write_csv(
         risk.hourly_risk_from_counts(per_hour), layout.output("hourly_risk_anomaly_csv"), ["Hour"]
     )
     sinks.write_csv(
-        risk.location_risk(places.where("n_accepted > 0"), weight="n_accepted"),
+        risk.rank_location_risk(totals.where("total_violations > 0")),
         layout.output("location_risk_csv"),
     )
     sinks.write_csv(
@@ -199,11 +213,12 @@ def run_pipeline(
 
     report("rank locations")
     places = location_type_counts(staged, layout)
-    write_location_results(places, layout)
+    totals = location_totals(places, layout)
+    write_location_results(totals, layout)
 
     report("bin and cluster coordinates")
-    write_hotspot_results(staged, places, layout, k, seed)
+    write_hotspot_results(staged, places, totals, layout, k, seed)
 
     report("score risk and surges")
-    write_risk_results(time, places, layout)
+    write_risk_results(time, totals, layout)
     return layout

@@ -42,7 +42,9 @@ def export_report(df: DataFrame, path: str, order: list[str | Column]) -> bool:
 
 def json_rows(df: DataFrame, as_text: bool = False) -> DataFrame:
     """One JSON object per row, nulls included; ``as_text`` turns all values to strings (K4, G1)."""
-    columns = [F.col(f"`{c}`").cast("string").alias(c) if as_text else F.col(f"`{c}`") for c in df.columns]
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    if as_text:
+        columns = [column.cast("string").alias(c) for column, c in zip(columns, df.columns)]
     return df.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("json"))
 
 

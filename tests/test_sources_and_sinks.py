@@ -141,7 +141,8 @@ def test_synthetic_rows(spark):
     clean = cleaning.clean(raw)
     assert clean.count() == raw.count() == 20_000
     assert raw.where(geo.is_coordinate_pair(F.col("Location"))).count() == 20_000
-    ids = [r[0] for r in raw.orderBy(F.length("Violation_Id"), "Violation_Id").select("Violation_Id").collect()]
+    by_number = raw.orderBy(F.length("Violation_Id"), "Violation_Id")
+    ids = [r[0] for r in by_number.select("Violation_Id").collect()]
     assert (ids[0], ids[-1]) == ("V0001", "V20000")
     days = clean.selectExpr("date(timestamp_parsed) d").distinct().orderBy("d").collect()
     assert (days[0][0], days[-1][0], len(days)) == (ANCHOR, dt.date(2026, 3, 2), 61)

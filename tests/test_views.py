@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from helpers import hundred_incidents, values
+from helpers import hundred_incidents, point_frame, values
 
 from incident_engine import constants as C
 from incident_engine.operators import clustering, filters, risk
@@ -109,8 +109,7 @@ def test_intensity_matrix(spark):
 
 def test_summary_as_json(spark, places):
     labelled = clustering.assign_nearest(
-        spark.createDataFrame([("V1", 40.7, -74.0, None)], "violation_id string, lat double, lon double, violation_type string"),
-        C.HOTSPOTS,
+        point_frame(spark, [(40.7, -74.0)], kind=None), C.HOTSPOTS
     )
     summary = views.summary(
         risk.hourly_risk(hundred_incidents(spark)), places, clustering.cluster_profile(labelled)
