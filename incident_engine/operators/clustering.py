@@ -21,6 +21,7 @@ from incident_engine.operators.common import incidents, largest, short_sorted, t
 from incident_engine.scratch import cut_lineage
 
 Centres = Sequence[Sequence[float]]
+POINTS_PER_PARTITION = 50_000
 
 
 def weighted_points(points: DataFrame, weight: str | None = None) -> DataFrame:
@@ -49,18 +50,14 @@ def kmeans_centres(
 ) -> list[tuple[float, float]]:
     """Centres found by distributed k-means, ordered by latitude and longitude (H3, H4).
 
-    The random start depends on how rows are spread and ordered, so both are fixed first:
-    the same points and ``partitions`` give the same centres however the input was split.
-    The compact table is kept while fitting, as the start alone reads it several times.
+    The random start depends on how rows are spread and ordered, so both are fixed first: the
+    same points give the same centres however the input was split and the session configured.
+    By default the spread follows from the number of distinct points. The compact table is
+    kept while fitting, as the start alone reads it several times.
     """
-    spark = points.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = (
-        weighted_points(points, weight)
-        .repartition(n, "lat", "lon")
-        .sortWithinPartitions("lat", "lon")
-        .persist()
-    )
+    compact = cut_lineage(weighted_points(points, weight))
+    n = partitions or max(1, -(-compact.count() // POINTS_PER_PARTITION))
+    spread = compact.repartition(n, "lat", "lon").sortWithinPartitions("lat", "lon").persist()
     try:
         vectors = VectorAssembler(inputCols=["lat", "lon"], outputCol="features").transform(spread)
         model = KMeans(
