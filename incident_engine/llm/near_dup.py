@@ -3,8 +3,9 @@
 A register holds, on an exponential scale, the least of the exponential variables that a hash draws for
 the elements of a set; registers of the union are the maxima of the sets' registers, and two sets agree in
 a register with a probability that rises with their Jaccard similarity. Equal sets are one class from the
-start. Classes that agree in a whole band are candidates, first each with the least class of its bucket;
-what then lies in different components of a bucket is compared pair by pair, so that no link between
+start. Classes that agree in a whole band are candidates: each is first compared with the least class of
+the buckets it shares most; buckets that then still hold different components are joined to clusters and
+compared in blocks of bounded size, on full sets and emitting links only, so that no link between
 candidates is missed and copies are never expanded into all pairs.
 """
 
@@ -31,6 +32,8 @@ BANDS, ROWS = 32, 6
 BASE, RATE, TOP = 1.001, 20.0, 65535
 #: A candidate is verified unless its estimate lies this many deviations under the limit.
 DEVIATIONS = 7.0
+#: Most classes on one side of a block comparison.
+BLOCK = 384
 
 _rng = np.random.Generator(np.random.PCG64(8051))
 _XOR = _rng.integers(0, 2**64, BANDS * ROWS, dtype=np.uint64)
@@ -200,6 +203,58 @@ def _links(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
     return members.join(centres, "a").mapInArrow(run, "a long, b long").distinct()
 
 
+def _block_links(texts: pa.Array, nodes: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All links between texts of different parts: shared shingles counted by matrix products."""
+    hashes, at = shingle_sets(texts)
+    sizes = np.diff(at).astype(float)
+    values, column, df = np.unique(hashes, return_inverse=True, return_counts=True)
+    row = W.text_of(at)
+    shared = df[column] > 1
+    order = np.argsort(column[shared], kind="stable")
+    row, column = row[shared][order], column[shared][order]
+    both = np.zeros((len(nodes), len(nodes)), np.float32)
+    names, place = np.unique(column, return_inverse=True)
+    edges = np.searchsorted(place, np.arange(0, len(names) + 4096, 4096))
+    for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])):
+        has = np.zeros((len(nodes), 4096), np.float32)
+        has[row[i:j], place[i:j] - 4096 * k] = 1
+        both += has @ has.T
+    union = sizes[:, None] + sizes[None, :] - both
+    linked = (100 * both >= PERCENT * union) & (parts[:, None] != parts[None, :])
+    a, b = np.nonzero(np.triu(linked, 1))
+    return nodes[a], nodes[b]
+
+
+def _left_links(left: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between different parts of buckets (key, node, part), by blocks of their clusters."""
+    chains = left.groupBy("key").agg(F.min("node").alias("a")).join(left.select("key", F.col("node").alias("b")), "key")
+    clusters = components(chains.select("a", "b").distinct())
+    placed = left.select("node", "part").distinct().join(clusters, "node")
+    sizes = placed.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    placed = placed.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    keys = classes.select("node", "k1")
+    full = placed.join(keys, "node").join(texts.withColumnRenamed("id", "node"), "node")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = full.withColumn("other", other).select(
+        "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "part", "k1", "text"
+    )
+
+    def run(group: pa.Table) -> pa.Table:
+        column = group["text"].combine_chunks().cast(pa.large_string())
+        hashes, at = shingle_sets(column)
+        filled = np.flatnonzero(np.diff(at))
+        own = np.zeros(len(column), np.int64)
+        if len(filled):
+            own[filled] = identity(hashes, np.append(at[:-1][filled], len(hashes)))[0]
+        keep = np.flatnonzero(own == group["k1"].to_numpy())
+        nodes, at = np.unique(group["node"].to_numpy()[keep], return_index=True)
+        keep = keep[at]
+        a, b = _block_links(column.take(pa.array(keep)), nodes, group["part"].to_numpy()[keep])
+        return pa.table({"a": a, "b": b})
+
+    return dealt.groupBy("component", "low", "high").applyInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n, component for every row of `docs`: set size and smallest id of its near duplicates.
 
@@ -215,28 +270,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     members = buckets.join(shared.select("key", "least"), "key").checkpoint()
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        likely = _likely(pairs.distinct(), classes).distinct().checkpoint()
-        return _links(likely, texts, classes).checkpoint()
-
-    links = verified(members.where("least <> node").select(F.col("least").alias("a"), F.col("node").alias("b")))
-    for every in (False, True):  # the least node outside the least one's component; then all pairs left
-        parts = components(links)
-        placed = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
-        mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
-        left = placed.join(mixed, "key").checkpoint()
-        if left.isEmpty():
-            break
-        if every:
-            other = left.select("key", F.col("node").alias("b"), F.col("part").alias("part_b"))
-            pairs = left.join(other, "key").where("node < b AND part <> part_b").select(F.col("node").alias("a"), "b")
-        else:
-            hubs = left.where("part <> low").groupBy("key").agg(F.min_by(F.struct("node", "part"), "node").alias("hub"))
-            pairs = left.join(hubs, "key").where("part <> hub.part").select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        links = links.unionByName(verified(pairs)).checkpoint()
-    else:
-        parts = components(links)
+    bands = members.where("least <> node").groupBy("node", "least").agg(F.count(F.lit(1)).alias("bands"))
+    most = bands.groupBy(F.col("node").alias("b")).agg(F.min_by("least", F.struct(-F.col("bands"), "least")).alias("a"))
+    likely = _likely(most.select("a", "b"), classes).checkpoint()
+    links = _links(likely, texts, classes).checkpoint()
+    parts = components(links)
+    placed = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
+    mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    left = placed.join(mixed.select("key"), "key").checkpoint()
+    if not left.isEmpty():
+        parts = components(links.unionByName(_left_links(left, texts, classes)))
     named = classes.join(parts, "node", "left").select("k1", "k2", F.col("n").alias("size"), F.coalesce("component", "node").alias("component"))
     keyed = real.join(named, (real.k1 == named.k1) & (real.k2 == named.k2) & (real.n == named["size"])).select("id", "n", "component")
     alone = rows.where("n = 0 OR id IS NULL").select("id", "n", F.col("id").alias("component"))
