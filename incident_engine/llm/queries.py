@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incident_engine import scratch
-from incident_engine.llm import bpe, html_main, mixing, near_dup, pii, quality
+from incident_engine.llm import ann, bpe, html_main, mixing, near_dup, pii, quality, substring_dedup, suffix_dedup, toxicity
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -48,6 +48,20 @@ MIX_EPOCHS = 2
 MIX_SEED = "mix-1"
 
 
+def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op6_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text by a model of the labels outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5
+    model = toxicity.fit(toxicity.sample(docs, table(spark, sf_dir, "labels"), fold != 0))
+    scored = toxicity.score(docs, model, name="score")
+    return scored.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced by keyed surrogates."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -62,6 +76,19 @@ def op7_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "lang", "source", "epoch")
 
 
+def op5_suffix_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes removed from every document, and the digest of the rest."""
+    found = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["length"])
+    return found.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words removed from every document, and the digest of the rest."""
+    found = substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of the shingle set and component of every document."""
     found = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -87,8 +114,12 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nn_descent": op1_nn_descent,
+    "op6_counterfactual": op6_counterfactual,
     "op2_surrogates": op2_surrogates,
     "op7_hierarchical_mix": op7_hierarchical_mix,
+    "op5_suffix_blocks": op5_suffix_blocks,
+    "op9_de_bruijn": op9_de_bruijn,
     "op8_setsketch": op8_setsketch,
     "op10_tag_path_ratios": op10_tag_path_ratios,
     "op3_compression_bands": op3_compression_bands,
