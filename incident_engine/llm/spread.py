@@ -13,11 +13,12 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text per chunk, on average.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 3 << 18
 LAST = np.uint64(2**64 - 1)
 
 
@@ -25,7 +26,7 @@ def sizes(docs: DataFrame, text: str) -> tuple[int, int]:
     """Numbers of chunks and of buckets for the whole text."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text))), F.lit(0))).first()[0]
     chunks = max(1, -(-total // CHUNK_BYTES))
-    return chunks, 1 << max(6, int(np.ceil(np.log2(max(1, chunks / 4)))))
+    return chunks, 1 << max(6, int(np.ceil(np.log2(max(1, chunks / 5)))))
 
 
 def chunked(docs: DataFrame, doc_id: str, text: str, chunks: int) -> DataFrame:
@@ -68,7 +69,8 @@ def send(chunk: int, keys: np.ndarray, buckets: int, columns: list[np.ndarray])
     bits = buckets.bit_length() - 1
     edges = np.searchsorted(keys >> np.uint64(64 - bits), np.arange(buckets + 1, dtype=np.uint64)) if bits else np.array([0, len(keys)])
     used = np.flatnonzero(np.diff(edges))
-    data = [b"".join(np.ascontiguousarray(c[edges[b] : edges[b + 1]]).tobytes() for c in (keys, *columns)) for b in used]
+    packer = zstandard.ZstdCompressor(level=1)
+    data = [packer.compress(b"".join(np.ascontiguousarray(c[edges[b] : edges[b + 1]]).tobytes() for c in (keys, *columns))) for b in used]
     return pa.table({"bucket": pa.array(used, pa.int32()), "chunk": pa.array([chunk] * len(used), pa.int32()), "data": pa.array(data, pa.binary())})
 
 
@@ -92,10 +94,11 @@ def answer(kinds: list[tuple[str, int]], judge: Callable[..., np.ndarray]) -> Ca
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("chunk")
-        parts = [unpack(d, kinds) for d in group["data"].to_pylist()]
+        parts = [unpack(zstandard.decompress(d), kinds) for d in group["data"].to_pylist()]
         verdict = judge(*(np.concatenate(c) for c in zip(*parts)))
         edges = np.append(0, np.cumsum([len(p[0]) for p in parts]))
-        data = [verdict[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
+        packer = zstandard.ZstdCompressor(level=1)
+        data = [packer.compress(verdict[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
         return pa.table({"bucket": group["bucket"], "chunk": group["chunk"], "data": pa.array(data, pa.binary())})
 
     return run
@@ -104,7 +107,7 @@ def answer(kinds: list[tuple[str, int]], judge: Callable[..., np.ndarray]) -> Ca
 def told(rows: pa.Table, kind: str, step: int) -> np.ndarray:
     """All answers of one step to a chunk, in the order of its sorted keys."""
     rows = rows.filter(pa.compute.equal(rows["step"], step)).sort_by("bucket")
-    return np.frombuffer(b"".join(rows["data"].to_pylist()), kind)
+    return np.frombuffer(b"".join(map(zstandard.decompress, rows["data"].to_pylist())), kind)
 
 
 def seen_twice(keys: np.ndarray) -> np.ndarray:

@@ -45,13 +45,16 @@ class Samples:
         self.ids = docs["doc_id"].combine_chunks().fill_null(NO_ID).to_numpy()
         self.data, self.offsets = flat(docs["text"].combine_chunks())
         n = len(self.data)
-        self.words = _words8(self.data, LONG + 8)
-        end = np.repeat(self.offsets[1:], np.diff(self.offsets))
-        left = end - np.arange(n)
-        w = self.words
+        left = np.repeat(self.offsets[1:], np.diff(self.offsets))
+        left -= np.arange(n)
+        w = _words8(self.data, 16)
         h = w[:n] * np.uint64(0x9E3779B97F4A7C15)
-        h = (h ^ (h >> np.uint64(29))) + w[8 : n + 8] * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(31))) + (w[16 : n + 16] >> np.uint64(32)) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(29)
+        h += w[8 : n + 8] * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(31)
+        w >>= np.uint64(32)
+        h += w[16 : n + 16] * np.uint64(0x94D049BB133111EB)
+        del w
         h = mix(h)
         taken = S.least_of_runs(h, left >= GRAM, left >= SPAN, GAP + 1) if n else np.zeros(0, bool)
         self.places = np.flatnonzero(taken)
