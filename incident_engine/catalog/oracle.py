@@ -220,40 +220,38 @@ FROM start LEFT JOIN members ON start.id = members.id GROUP BY start.id""",
 
 
 def lloyd_clusters() -> str:
-    """The passes of Lloyd's algorithm one after the other; a settled pass repeats itself."""
+    """Lloyd's algorithm as a recursion that ends with the pass after which no centre moves."""
     k = len(q.LLOYD_START)
+    names = [f"{ax}{i}" for i in range(k) for ax in "ab"]
     start = ", ".join(f"{_double(v)} AS {axis}{i}" for i, c in enumerate(q.LLOYD_START)
                       for axis, v in zip(("a", "b"), c))
     distances = ", ".join(f"sqrt((lat - a{i}) * (lat - a{i}) + (lon - b{i}) * (lon - b{i}))"
                           for i in range(k))
     label = f"list_position([{distances}], list_min([{distances}])) - 1"
-    ctes = [f"c0 AS (SELECT {start}, false AS done)"]
-    for p in range(q.LLOYD_PASSES - 1):
-        means = ", ".join(
-            f"coalesce(avg(CASE WHEN id = {i} THEN {col} END), any_value({ax}{i})) AS {ax}{i}"
-            for i in range(k) for ax, col in (("a", "lat"), ("b", "lon"))
-        )
-        old = ", ".join(f"{ax}{i}" for i in range(k) for ax in "ab")
-        still = " AND ".join(
-            f"abs(o.{ax}{i} - n.{ax}{i}) <= 1e-5 + 1e-5 * abs(n.{ax}{i})"
-            for i in range(k) for ax in "ab"
-        )
-        kept = ", ".join(
-            f"CASE WHEN o.done OR ({still}) THEN o.{ax}{i} ELSE n.{ax}{i} END AS {ax}{i}"
-            for i in range(k) for ax in "ab"
-        )
-        ctes += [
-            f"m{p} AS (SELECT lat, lon, {label} AS id, {old} FROM points, c{p})",
-            f"n{p} AS (SELECT {means} FROM m{p})",
-            f"c{p + 1} AS (SELECT {kept}, o.done OR ({still}) AS done FROM c{p} o, n{p} n)",
-        ]
-    last = f"c{q.LLOYD_PASSES - 1}"
+    means = ", ".join(
+        f"coalesce(avg(CASE WHEN id = {i} THEN {col} END), any_value({ax}{i})) AS n_{ax}{i}"
+        for i in range(k) for ax, col in (("a", "lat"), ("b", "lon"))
+    )
+    old = ", ".join(names)
+    first = ", ".join(f"any_value({n}) AS {n}" for n in names)
+    still = " AND ".join(f"abs({n} - n_{n}) <= 1e-5 + 1e-5 * abs(n_{n})" for n in names)
+    kept = ", ".join(f"CASE WHEN {still} THEN {n} ELSE n_{n} END" for n in names)
     return with_(
-        POINTS + ",\n" + ",\n".join(ctes),
+        f"""{POINTS},
+passes(pass, done, {old}) AS (
+  SELECT 0, false, * FROM (SELECT {start})
+  UNION ALL
+  SELECT pass + 1, {still}, {kept} FROM (
+    SELECT pass, {first}, {means} FROM (
+      SELECT lat, lon, pass, {old}, {label} AS id FROM points, passes WHERE NOT done AND pass < 100
+    ) GROUP BY pass
+  )
+),
+centres AS (SELECT * FROM passes ORDER BY pass DESC LIMIT 1)""",
         f"""
-SELECT violation_id, lat, lon, ({label})::INTEGER AS prediction, violation_type
-FROM points, {last}""",
-    )
+SELECT violation_id, lat, lon, ({label})::INTEGER AS prediction, violation_type, done AS settled
+FROM points, centres""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 def synthesize() -> str:

@@ -39,7 +39,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 SYNTH_ANCHOR = dt.date(2026, 1, 1)
 SYNTH_SEED = 42
 SAMPLE_SIZE = 250
-LLOYD_PASSES = 6
 LLOYD_START = ((40.70, -74.02), (40.72, -74.00), (40.74, -73.99), (40.76, -73.97), (40.80, -73.95))
 CHOSEN_TYPES = ("DUI", "Speeding", "Red Light Violation")
 CHOSEN_DAYS = ("Monday", "Friday", "Sunday")
@@ -142,8 +141,10 @@ def lloyd_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lloyd_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = clustering.lloyd_clusters(points(spark, sf_dir), LLOYD_START, max_iter=LLOYD_PASSES)
-    return clustering.cluster_rows(rows)
+    geo = points(spark, sf_dir)
+    found = clustering.lloyd(geo, LLOYD_START)
+    rows = clustering.cluster_rows(clustering.assign_nearest(geo, found.centres))
+    return rows.withColumn("settled", F.lit(found.settled))
 
 
 def kmeans_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:

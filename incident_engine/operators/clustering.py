@@ -21,7 +21,9 @@ from incident_engine.operators.common import incidents, largest, short_sorted, t
 from incident_engine.scratch import cut_lineage
 
 Centres = Sequence[Sequence[float]]
-POINTS_PER_PARTITION = 50_000
+#: Partitions of the compact table that k-means reads: fixed, as its random start depends on them. A large
+#: cluster passes more, the same for every run that should give the same centres.
+SPREAD = 32
 
 
 def weighted_points(points: DataFrame, weight: str | None = None) -> DataFrame:
@@ -46,19 +48,22 @@ def kmeans_centres(
     max_iter: int = 20,
     tol: float = 1e-4,
     weight: str | None = None,
-    partitions: int | None = None,
+    partitions: int = SPREAD,
 ) -> list[tuple[float, float]]:
     """Centres found by distributed k-means, ordered by latitude and longitude (H3, H4).
 
     The random start depends on how rows are spread and ordered, so both are fixed first: the
     same points give the same centres however the input was split and the session configured.
-    By default the spread follows from the number of distinct points. The compact table is
-    kept while fitting, as the start alone reads it several times.
+    With at most ``k`` distinct places, these are the centres; no more than ``k + 1`` of them
+    reach the driver to tell. The compact table is kept while fitting, as the start alone reads
+    it several times.
     """
-    compact = cut_lineage(weighted_points(points, weight))
-    n = partitions or max(1, -(-compact.count() // POINTS_PER_PARTITION))
-    spread = compact.repartition(n, "lat", "lon").sortWithinPartitions("lat", "lon").persist()
+    compact = weighted_points(points, weight)
+    spread = compact.repartition(partitions, "lat", "lon").sortWithinPartitions("lat", "lon").persist()
     try:
+        places = [(float(r["lat"]), float(r["lon"])) for r in spread.select("lat", "lon").take(k + 1)]
+        if len(places) <= k:
+            return sorted(places)
         vectors = VectorAssembler(inputCols=["lat", "lon"], outputCol="features").transform(spread)
         model = KMeans(
             k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", weightCol="weight"
@@ -127,10 +132,11 @@ def lloyd_step(points: DataFrame, centres: Centres, weight: str | None = None) -
 
 
 class LloydResult(NamedTuple):
-    """Centres whose assignment is final, and the number of passes made."""
+    """Centres whose assignment is final, the number of passes made, and whether they settled."""
 
     centres: list[tuple[float, float]]
     iterations: int
+    settled: bool
 
 
 def _settled(old: Centres, new: Centres, rtol: float, atol: float) -> bool:
@@ -155,17 +161,16 @@ def lloyd(
     compact = cut_lineage(weighted_points(points, weight)).persist()
     try:
         current = [(float(a), float(b)) for a, b in init]
-        used, passes = current, 0
-        while passes < max_iter:
+        used, passes, settled = current, 0, False
+        while passes < max_iter and not settled:
             used, passes = current, passes + 1
             rows = lloyd_step(compact, used, weight="weight").collect()
             current = [
                 (r["center_lat"], r["center_lon"])
                 for r in sorted(rows, key=lambda r: r["cluster_id"])
             ]
-            if _settled(used, current, rtol, atol):
-                break
-        return LloydResult(used, passes)
+            settled = _settled(used, current, rtol, atol)
+        return LloydResult(used, passes, settled)
     finally:
         compact.unpersist()
 

@@ -7,14 +7,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from incident_engine.catalog import oracle, queries as catalog
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
 DATA = "/root/testdata"
-SQL = contract.oracle_sql()
-QUERIES = contract.queries()
+SQL = oracle.statements()
+QUERIES = catalog.QUERIES
 SPARK_TYPES = {
     "int": "INTEGER",
     "bigint": "BIGINT",
@@ -88,7 +89,8 @@ def test_result_does_not_depend_on_partitions(spark, name):
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(SQL) <= set(QUERIES) <= set(contract.queries())
 
 
 def test_flagship_query(spark):

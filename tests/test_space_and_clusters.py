@@ -185,3 +185,13 @@ def test_points_stay_in_one_stage(spark):
     df = clustering.assign_nearest(point_frame(spark, two_clouds()), C.HOTSPOTS)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("places", [1, 2, 4, 5, 6])
+def test_hotspots_of_few_distinct_places(spark, places):
+    rows = [(f"V{i:04d}", 40.7 + (i % places) / 100, -73.9, "DUI") for i in range(60)]
+    df = spark.createDataFrame(rows, "violation_id string, lat double, lon double, violation_type string")
+    labelled = clustering.cluster_hotspots(df)
+    found = labelled.groupBy("prediction").count().collect()
+    assert sum(r["count"] for r in found) == 60
+    assert len(found) == min(places, 5)
