@@ -89,6 +89,12 @@ def _of(choices: str | list[str], value: Column) -> Column:
     return F.element_at(F.array(*[F.lit(c) for c in choices]), (value % len(choices) + 1).cast("int"))
 
 
+def _other(choices: list[str], value: Column, own: Column) -> Column:
+    """A choice by value, or the next one where that is the name itself."""
+    pick = _of(choices, value)
+    return F.when(F.lower(pick) == own, _of(choices, value + 1)).otherwise(pick)
+
+
 def _redraw(plain: Column, stream: Column, letters: str) -> Column:
     """Each digit becomes a digit and each ASCII letter one of `letters`; other characters stay."""
     chars = F.split(plain, "")
@@ -110,7 +116,7 @@ def surrogate(key: str, kind: Column, entity: Column, gender: Column, salt: Colu
     """The canonical surrogate of a canonical entity, by key and salt.
 
     Domains keep their last label and a reserved `example` label, numbers their leading country code or
-    network digit, valid card numbers stay valid, and names are drawn by gender and script.
+    network digit, valid card numbers stay valid, and names are drawn by gender and script, never the own.
     """
     seed = F.concat_ws("\x1f", F.lit(key), kind, entity, salt.cast("string"))
     blocks = F.transform(F.sequence(F.lit(0), F.floor(F.length(entity) / 32).cast("int")), lambda b: F.sha2(F.concat_ws("\x1f", seed, b.cast("string")), 256))
@@ -126,8 +132,8 @@ def surrogate(key: str, kind: Column, entity: Column, gender: Column, salt: Colu
     card = F.when(luhn_sum(entity) % 10 == 0, checked).otherwise(card)
     hexed = _redraw(entity, stream, "abcdef")
     secret = F.when(entity.rlike("^[0-9a-f]+$"), hexed).otherwise(tied(4))
-    firsts = [F.when((script(entity) == s) & (F.when(gender == "", F.when(_byte(stream, F.lit(0)) % 2 == 0, "m").otherwise("f")).otherwise(gender) == g), _of(pool, _byte(stream, F.lit(1)))) for (s, g), pool in FIRST.items()]
-    lasts = lambda at: F.coalesce(*[F.when(script(entity) == s, _of(pool, _byte(stream, F.lit(at)))) for s, pool in LAST.items()])
+    firsts = [F.when((script(entity) == s) & (F.when(gender == "", F.when(_byte(stream, F.lit(0)) % 2 == 0, "m").otherwise("f")).otherwise(gender) == g), _other(pool, _byte(stream, F.lit(1)), F.substring_index(entity, " ", 1))) for (s, g), pool in FIRST.items()]
+    lasts = lambda at: F.coalesce(*[F.when(script(entity) == s, _other(pool, _byte(stream, F.lit(at)), F.substring_index(entity, " ", -1))) for s, pool in LAST.items()])
     last = F.when(salt > 0, F.concat_ws("-", lasts(2), lasts(3), F.when(salt > 3, lasts(4)), F.when(salt > 6, lasts(5)))).otherwise(lasts(2))
     name = F.when(entity.contains(" "), F.concat_ws(" ", F.coalesce(*firsts), last)).otherwise(last)
     return (

@@ -68,7 +68,7 @@ def base_counts(column: pa.Array, window: int = 5) -> dict[str, np.ndarray]:
     }
     # lines: a text's own bounds cut them as well
     breaks = np.flatnonzero(data == 10)
-    line_starts = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
+    line_starts = np.unique(np.concatenate([offsets[:-1][np.diff(offsets) > 0], breaks + 1]))
     of = np.searchsorted(offsets[1:], line_starts, "right")
     keep = of < len(column)
     line_starts, of = line_starts[keep], of[keep]
