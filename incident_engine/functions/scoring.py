@@ -74,4 +74,4 @@ def patrol_action(level: Column) -> Column:
 
 def density_share(count: Column) -> Column:
     """Width of the density bar in percent: 15 per incident, at most 100."""
-    return F.least(F.lit(100).cast("bigint"), count * 15)
+    return F.least(F.lit(100).cast("bigint"), F.least(count, F.lit(7)) * 15)

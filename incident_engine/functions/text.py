@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from incident_engine.constants import NA_TOKENS
 
-WHITESPACE = " \t\n\r\f\v"
+# ASCII blanks and separators, then the Unicode blanks
+WHITESPACE = (
+    " \t\n\r\f\v\x1c\x1d\x1e\x1f"
+    "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 # The longest numeric prefix of a text, as a lenient number parser reads it.
 NUMERIC_PREFIX = r"^[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
 
