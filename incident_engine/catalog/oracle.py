@@ -308,12 +308,11 @@ def corridor_table(where: str = "") -> str:
     number = f"TRY_CAST(regexp_extract({part}, '^[-+]?[0-9]+[.]?[0-9]*') AS DOUBLE)"
     return with_(
         f"""{PLACES},
-ten AS (SELECT *, row_number() OVER (ORDER BY "count" DESC, "Location") AS n FROM places
-        ORDER BY n LIMIT 10)""",
+ranks AS (SELECT *, row_number() OVER (ORDER BY "count" DESC, "Location") AS n FROM places)""",
         f"""
 SELECT '#' || n AS rank_label, "Location", "count", least(100, "count" * 15)::BIGINT AS density_share,
   {number.format(1)} AS lat, {number.format(2)} AS lon
-FROM ten {where}""",
+FROM ranks {where} ORDER BY n LIMIT 10""",
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from incident_engine.functions.scoring import lookup
+from incident_engine.scratch import cut_lineage
 
 
 def incidents(weight: str | None = None) -> Column:
@@ -54,6 +55,24 @@ def ranked(df: DataFrame, by: str, *ties: str, name: str = "rank") -> DataFrame:
     return df.withColumn(name, F.row_number().over(order))
 
 
+def ranked_all(df: DataFrame, by: str, *ties: str, name: str = "rank") -> DataFrame:
+    """Number the rows of a table of any size from 1 (W3); ``by`` and ``ties`` must order it fully.
+
+    Rows are sorted by ranges and stored once, so that their places cannot change; a row's number
+    is its place in its range and the sizes of the ranges before, of which there are as many as
+    shuffle partitions.
+    """
+    keys = descending_then(by, *ties)
+    ranges = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = cut_lineage(ranges.withColumn(name, F.monotonically_increasing_id()))
+    part, place = F.shiftright(name, 33), F.col(name).bitwiseAND((1 << 33) - 1)
+    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("size"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    joined = placed.join(F.broadcast(offsets), part == F.col("part"))
+    return joined.withColumn(name, F.col("offset") + place + 1).drop("part", "offset")
+
+
 def largest(label: str, amount: Column) -> Column:
     """Label of the largest amount in a group; ties go to the first label, null labels lose."""
     key = F.when(F.col(label).isNotNull(), F.struct(-amount, F.col(label)))

@@ -159,10 +159,20 @@ def anomaly_audit(hourly_risk: DataFrame) -> DataFrame:
 
 
 def corridor_table(location_counts: DataFrame, query: str = "", n: int = 10) -> DataFrame:
-    """Ranked top locations with density share and position, searched by text."""
-    table = common.ranked(
-        locations.top_locations(location_counts, n), "count", "Location"
-    ).select(
+    """Top locations with rank, density share and position.
+
+    With a ``query`` the first ``n`` rows of the whole table whose rank, place or count contain it,
+    under their ranks in the whole table.
+    """
+    keys = ("count", "Location")
+    if query:
+        rows = common.ranked_all(location_counts, *keys)
+        rows = rows.withColumn("rank_label", F.concat(F.lit("#"), F.col("rank").cast("string")))
+        found = filters.search_rows(rows, query, "rank_label", "Location", "count")
+        top = found.orderBy("rank").limit(n)
+    else:
+        top = common.ranked(locations.top_locations(location_counts, n), *keys)
+    return top.select(
         F.concat(F.lit("#"), F.col("rank").cast("string")).alias("rank_label"),
         "Location",
         "count",
@@ -170,7 +180,6 @@ def corridor_table(location_counts: DataFrame, query: str = "", n: int = 10) ->
         text.leading_number(F.get(F.split("Location", ","), F.lit(0))).alias("lat"),
         text.leading_number(F.get(F.split("Location", ","), F.lit(1))).alias("lon"),
     )
-    return filters.search_rows(table, query, "rank_label", "Location", "count")
 
 
 def critical_alert(hourly_risk: DataFrame) -> DataFrame:

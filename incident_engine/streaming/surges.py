@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from incident_engine.constants import RAW_SCHEMA
 from incident_engine.functions.text import null_if_na
@@ -33,22 +33,49 @@ def stream_incidents(
 def hourly_window_counts(raw: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Incidents per clock hour and type of a raw stream, final once ``delay`` has passed.
 
-    Watermarks need zoned time, so run it with the session zone set to UTC.
+    Watermarks need zoned time: clock times are taken as if in UTC, whatever the session's zone.
+    Rows behind the watermark are dropped, and which these are depends on how files fall into
+    batches; :func:`dropped_groups` tells whether there were any, and :func:`open_windows` gives
+    the hours that the watermark has not passed yet.
     """
-    return (
+    return _hours(
         clean(raw)
-        .withColumn("event_time", F.col("timestamp_parsed").cast("timestamp"))
+        .withColumn("event_time", _as_if_utc(F.col("timestamp_parsed")))
         .withWatermark("event_time", delay)
         .groupBy(F.window("event_time", "1 hour"), "violation_type")
         .agg(F.count(F.lit(1)).alias("count"))
-        .select(
-            F.col("window.start").cast("timestamp_ntz").alias("hour_start"),
-            "violation_type",
-            "count",
-        )
     )
 
 
+def open_windows(spark: SparkSession, state: str) -> DataFrame:
+    """The windows of :func:`hourly_window_counts` still open in the checkpoint folder ``state``."""
+    stored = spark.read.format("statestore").load(state)
+    return _hours(stored.select("key.window", "key.violation_type", "value.count"))
+
+
+def dropped_groups(job: StreamingQuery) -> int:
+    """Groups (hour and type, per task) that a query dropped for coming behind the watermark.
+
+    Counted over the progress reports that the session keeps
+    (``spark.sql.streaming.numRecentProgressUpdates``).
+    """
+    states = (s for p in job.recentProgress for s in p["stateOperators"])
+    return sum(s["numRowsDroppedByWatermark"] for s in states)
+
+
+def _as_if_utc(clock: Column) -> Column:
+    """The instant at which clocks in UTC show a zone-less time."""
+    parts = [f(clock) for f in (F.year, F.month, F.dayofmonth, F.hour, F.minute)]
+    return F.make_timestamp(*parts, F.date_part(F.lit("SECOND"), clock), F.lit("UTC"))
+
+
+def _hours(counts: DataFrame) -> DataFrame:
+    """Window starts as the zone-less times that clocks in UTC show."""
+    since = F.make_dt_interval(secs=F.unix_seconds("window.start"))
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
+    return counts.select(start.alias("hour_start"), "violation_type", "count")
+
+
 def surge_alerts(raw: DataFrame, sink: Callable[[DataFrame, int], None]) -> DataStreamWriter:
     """After each micro-batch hand ``sink`` the hourly risk table of all rows so far.
 

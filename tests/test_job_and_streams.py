@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from helpers import hundred_incidents, raw_frame, values
@@ -164,3 +165,34 @@ def test_stream_windows_close_after_the_delay(spark, tmp_path):
     last = dt.datetime(2026, 1, 5, 3)  # the 100th hour; windows must end two hours earlier
     assert got.agg({"hour_start": "max"}).first()[0] == last - dt.timedelta(hours=3)
     assert got.count() == 97 and {r["count"] for r in got.collect()} == {1}
+    still = surges.open_windows(spark, str(tmp_path / "state"))
+    assert still.dtypes == got.dtypes
+    assert sorted(r["hour_start"] for r in still.collect()) == [last - dt.timedelta(hours=h) for h in (2, 1, 0)]
+    assert surges.dropped_groups(job) == 0
+
+
+@pytest.mark.parametrize("per_batch", [None, 1])
+def test_stream_tells_of_late_rows_and_keeps_clock_hours_in_any_zone(spark, tmp_path, per_batch):
+    source, state, target = (str(tmp_path / n) for n in ("in", "state", "out"))
+    times = ["10:10:00", "20:10:00", "21:10:00", "22:10:00", "11:10:00", "02:30:00", "23:10:00"]
+    for i, t in enumerate(times):
+        one = raw_frame(spark, [(f"V{i}", f"2026-03-08 {t}", "DUI", "40.75,-73.98")])
+        one.coalesce(1).write.mode("append").options(**sinks.CSV_OPTIONS).csv(source)
+        time.sleep(1.1)  # files are taken in the order of their times
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # has no 02:30 on that day
+    try:
+        stream = surges.stream_incidents(spark, source, files_per_batch=per_batch)
+        counts = surges.hourly_window_counts(stream, "1 hour")
+        writer = counts.writeStream.format("parquet").option("checkpointLocation", state)
+        job = writer.trigger(availableNow=True).start(target)
+        job.awaitTermination()
+        closed = [r["hour_start"].hour for r in spark.read.parquet(target).collect()]
+        still = [r["hour_start"].hour for r in surges.open_windows(spark, state).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    hours = {int(t[:2]) for t in times}
+    late = hours - set(closed) - set(still)
+    assert len(closed + still) == len(set(closed + still)) and set(closed + still) <= hours
+    assert late == (set() if per_batch is None else {2, 11})
+    assert surges.dropped_groups(job) == len(late)

@@ -88,9 +88,22 @@ def test_corridor_table(spark):
     assert tuple(rows[2]) == ("#3", " 40.71x , -73.95", 2, 30, 40.71, -73.95)
     assert [r["Location"] for r in views.corridor_table(counts, "MAIN").collect()] == ["Main St"]
     assert views.corridor_table(counts, "nowhere").count() == 0
+    beyond = views.corridor_table(counts, "-73.39").collect()  # the last of 23 places
+    assert [(r["rank_label"], r["Location"]) for r in beyond] == [("#23", "40.39,-73.39")]
+    assert [r["rank_label"] for r in views.corridor_table(counts, "#2").collect()] == [
+        "#2", *(f"#{i}" for i in range(20, 24))
+    ]
+    assert views.corridor_table(counts.where("false"), "main").count() == 0
     assert views.corridors(counts).count() == 15
 
 
+def test_ranks_of_a_whole_table(spark):
+    df = spark.range(5000).selectExpr("id % 7 n", "cast(id as string) name").repartition(9)
+    got = common.ranked_all(df, "n", "name").orderBy("rank").collect()
+    want = sorted(((i % 7, str(i)) for i in range(5000)), key=lambda x: (-x[0], x[1]))
+    assert [tuple(r) for r in got] == [(*x, k) for k, x in enumerate(want, 1)]
+
+
 def test_domain_completion(spark):
     df = spark.createDataFrame([(3, 5), (3, 2), (30, 9)], "Hour int, count bigint")
     zero = dict(values(common.sum_over_domain(df, "Hour", range(24), "count", 0), "*"))
