@@ -69,8 +69,11 @@ def ranked_all(df: DataFrame, by: str, *ties: str, name: str = "rank") -> DataFr
     sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    joined = placed.join(F.broadcast(offsets), part == F.col("part"))
-    return joined.withColumn(name, F.col("offset") + place + 1).drop("part", "offset")
+    known = F.map_from_entries(F.collect_list(F.struct("part", "offset")))
+    parts = F.sequence(F.lit(0).cast("bigint"), F.max("part"))
+    table = offsets.agg(known.alias("known"), parts.alias("parts"))
+    by_part = table.select(F.transform("parts", lambda p: F.element_at("known", p))).scalar()
+    return placed.withColumn(name, F.get(by_part, part.cast("int")) + place + 1)
 
 
 def largest(label: str, amount: Column) -> Column:
