@@ -22,7 +22,7 @@ ORDERS, PLANES, RUN = 4, 12, 256
 #: Best links that a list proposes to each of its members in one round.
 PROPOSED = 6
 #: Nodes that a search keeps and opens at a time, its entry nodes, and its steps at most.
-BEAM, OPENED, ENTRIES, STEPS = 320, 48, 32, 20
+BEAM, OPENED, ENTRIES, STEPS = 320, 128, 32, 20
 
 
 def _rows(column: pa.Array) -> np.ndarray:
