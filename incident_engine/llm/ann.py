@@ -3,7 +3,8 @@
 Equal vectors are one node. The graph starts from neighbours in a few orders by random hyperplanes and is
 then improved in rounds: every node compares the members of its list (its neighbours and those it is a
 neighbour of) with each other, so neighbours of neighbours meet through joins, and each member keeps its
-best K. Queries walk the graph from their own node and from fixed entry nodes, all at once, one join per step.
+best K. Queries walk the graph from their own node and from fixed entry nodes, all at once, one join per step;
+a query's search so far is one row.
 """
 
 from __future__ import annotations
@@ -120,9 +121,12 @@ def _met(lists: DataFrame) -> DataFrame:
                 place = np.full((len(sizes), width), -1)
                 place[np.arange(width) < sizes[:, None]] = np.arange(len(flat))
                 real = place >= 0
+                twice = (ids[place][:, :, None] == ids[place][:, None, :]) & real[:, :, None] & real[:, None, :]
+                new = (twice & fresh[place][:, None, :]).any(axis=2)  # a member linked both ways is there twice
+                real &= ~np.tril(twice, -1).any(axis=2)
                 y = x[place] * real[:, :, None]
                 sims = y @ y.transpose(0, 2, 1)
-                use = real[:, :, None] & real[:, None, :] & (fresh[place][:, :, None] | fresh[place][:, None, :])
+                use = real[:, :, None] & real[:, None, :] & (new[:, :, None] | new[:, None, :])
                 use &= ~np.eye(width, dtype=bool) & (sims > worst[place][:, :, None])
                 sims = np.where(use, sims, -2)
                 k = min(PROPOSED, width)
@@ -139,9 +143,9 @@ def build(nodes: DataFrame, seed: int = 1) -> DataFrame:
     """The neighbour graph (u, v, s, fresh) of `nodes`, at most K links from each node."""
     graph = _first_graph(nodes, seed).checkpoint()
     for _ in range(ROUNDS):
-        back = graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "s", "fresh")
-        members = graph.select("u", F.col("v").alias("m"), "fresh").unionByName(_best(back).select("u", F.col("v").alias("m"), "fresh"))
-        members = members.groupBy("u", "m").agg(F.max("fresh").alias("fresh"))
+        rank = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("s"), "u"))
+        back = graph.withColumn("n", rank).where(f"n <= {K}").select(F.col("v").alias("u"), F.col("u").alias("m"), "fresh")
+        members = graph.select("u", F.col("v").alias("m"), "fresh").unionByName(back)
         worst = graph.groupBy(F.col("u").alias("m")).agg(F.when(F.count(F.lit(1)) >= K, F.min("s")).otherwise(-2.0).cast("float").alias("worst"))
         told = nodes.select(F.col("node").alias("m"), "unit").join(worst, "m", "left").na.fill({"worst": -2.0})
         lists = members.join(told, "m").groupBy("u").agg(F.collect_list(F.struct("m", "unit", "worst", "fresh")).alias("members"))
@@ -153,46 +157,64 @@ def build(nodes: DataFrame, seed: int = 1) -> DataFrame:
     return graph
 
 
-def _scored(pairs: DataFrame) -> DataFrame:
-    """q, node and cosine s of rows (q, node, asked, vector), in double precision."""
+def _scores(asked: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Cosines of one vector with the rows of a matrix, in double precision."""
+    dot = lambda x, y: np.einsum("ij,ij->i", x, y)
+    mine = np.tile(asked, (len(vectors), 1))
+    return dot(mine, vectors) / (np.sqrt(dot(mine, mine)) * np.sqrt(dot(vectors, vectors)))
+
+
+#: A search: its vector, the best nodes with their scores and links, all nodes asked for so far, those to score next.
+STATE = "q long, asked array<double>, node array<long>, s array<double>, opened array<boolean>, links array<array<long>>, seen array<long>, next array<long>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(n).flatten().to_numpy().reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 1)) for n in ("asked", "vector"))
-            dot = lambda x, y: np.einsum("ij,ij->i", x, y)
-            s = dot(a, b) / (np.sqrt(dot(a, a)) * np.sqrt(dot(b, b)))
-            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("node"), pa.array(s)], ["q", "node", "s"])
 
-    return pairs.select("q", "node", "asked", "vector").mapInArrow(run, "q long, node long, s double")
+def _step(met: pa.Table, state: pa.Table) -> pa.Table:
+    """The search after the nodes `met` (node, vector, links) are scored and the best not yet opened are opened."""
+    own = state.slice(0, 1).to_pylist()[0]
+    asked = np.asarray(own["asked"], float)
+    ids, s, opened = np.asarray(own["node"], np.int64), np.asarray(own["s"], float), np.asarray(own["opened"], bool)
+    links = own["links"]
+    if met.num_rows:
+        vectors = met["vector"].combine_chunks().flatten().to_numpy().reshape(met.num_rows, -1)
+        ids, s = np.append(ids, met["node"].to_numpy()), np.append(s, _scores(asked, vectors))
+        opened = np.append(opened, np.zeros(met.num_rows, bool))
+        links = [*links, *met["links"].to_pylist()]
+    order = np.lexsort((ids, -s))[:BEAM]
+    ids, s, opened, links = ids[order], s[order], opened[order], [links[i] for i in order]
+    seen, ahead = np.asarray(own["seen"], np.int64), np.zeros(0, np.int64)
+    while not len(ahead) and not opened.all():
+        now = np.flatnonzero(~opened)[:OPENED]
+        opened[now] = True
+        ahead = np.setdiff1d(np.array([v for i in now for v in links[i]], np.int64), seen)
+    row = {"q": own["q"], "asked": asked, "node": ids, "s": s, "opened": opened, "links": links, "seen": np.append(seen, ahead), "next": ahead}
+    return pa.table({n: pa.array([x if n in ("q", "links") else x.tolist()], state.schema.field(n).type) for n, x in row.items()})
 
 
 def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
     """q, node, s: the nodes that each query (q, vector, own) ends with, by cosine in double precision.
 
     `own` is the query's node in the graph or null. A step opens the best nodes not yet opened among the
-    BEAM best and scores their links both ways, and the search ends when there are none; then the best BEAM
-    of everything scored are the result.
+    BEAM best and scores their links both ways that were not scored before; the search ends when there are
+    none, and the BEAM best of everything scored are the result. A query's group is bounded by OPENED nodes
+    of at most 3 K links each.
     """
-    back = _best(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "s", "fresh"), 2 * K)
-    roads = graph.select("u", "v").unionByName(back.select("u", "v")).distinct().checkpoint()
-    starts = nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(ENTRIES)
-    found = queries.select("q").crossJoin(F.broadcast(starts)).unionByName(queries.where("own IS NOT NULL").select("q", F.col("own").alias("node")))
-    beam = None
-    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "node"))
+    rank = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("s"), "u"))
+    back = graph.withColumn("n", rank).where(f"n <= {2 * K}").select(F.col("v").alias("u"), F.col("u").alias("v"))
+    roads = graph.select("u", "v").unionByName(back).groupBy(F.col("u").alias("node")).agg(F.collect_set("v").alias("links"))
+    none = F.array().cast("array<long>")
+    places = nodes.select("node", "vector").join(roads, "node", "left").withColumn("links", F.coalesce("links", none)).checkpoint()
+    starts = nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(ENTRIES).agg(F.collect_list("node").alias("entries"))
+    first = F.array_distinct(F.concat("entries", F.when(F.col("own").isNull(), none).otherwise(F.array("own"))))
+    state = queries.crossJoin(F.broadcast(starts)).select(  # one row
+        "q", F.col("vector").alias("asked"), none.alias("node"), F.array().cast("array<double>").alias("s"), F.array().cast("array<boolean>").alias("opened"),
+        F.array().cast("array<array<long>>").alias("links"), first.alias("seen"), first.alias("next"),
+    )
     for _ in range(STEPS):
-        pairs = found.distinct().join(nodes.select("node", "vector"), "node").join(queries.select("q", F.col("vector").alias("asked")), "q")
-        scored = _scored(pairs).withColumn("opened", F.lit(False))
-        if beam is not None:
-            opened = beam.withColumn("opened", F.col("opened") | F.col("now")).drop("now")
-            scored = scored.unionByName(opened).groupBy("q", "node").agg(F.max("s").alias("s"), F.max("opened").alias("opened"))
-        ranked = scored.withColumn("place", place).where(f"place <= {BEAM}").drop("place")
-        turn = F.row_number().over(Window.partitionBy("q").orderBy("opened", F.desc("s"), "node"))
-        beam = ranked.withColumn("turn", turn).withColumn("now", ~F.col("opened") & (F.col("turn") <= OPENED)).drop("turn").checkpoint()
-        ahead = beam.where("now")
-        if ahead.isEmpty():
+        met = state.select(F.col("q").alias("asker"), F.explode("next").alias("node")).join(places, "node").select("asker", "node", "vector", "links")
+        state = met.groupBy("asker").cogroup(state.groupBy("q")).applyInArrow(_step, STATE).checkpoint()
+        if state.where("size(next) > 0").isEmpty():
             break
-        found = ahead.select("q", F.col("node").alias("u")).join(roads, "u").select("q", F.col("v").alias("node"))
-    return beam.select("q", "node", "s")
+    return state.select("q", F.explode(F.arrays_zip("node", "s")).alias("x")).select("q", "x.node", "x.s")
 
 
 def nearest(vectors: DataFrame, chosen: Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
