@@ -19,10 +19,11 @@ def components(links: DataFrame) -> DataFrame:
     labels = labels.select("node", F.least("node", "near").alias("component")).checkpoint()
     while True:
         seen = labels.select(F.col("node").alias("b"), F.col("component").alias("seen"))
-        near = both.join(seen, "b").groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("near"))
-        stepped = labels.join(near, "node").select("node", "component", F.least("component", "near").alias("next"))
+        near = both.join(seen, "b").select(F.col("a").alias("node"), "seen", F.lit(None).cast("long").alias("was"))
+        own = labels.select("node", F.col("component").alias("seen"), F.col("component").alias("was"))
+        stepped = near.unionByName(own).groupBy("node").agg(F.min("seen").alias("next"), F.max("was").alias("was"))
         jump = stepped.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        moved = stepped.join(jump, "next").select("node", F.col("component").alias("was"), F.least("next", "far").alias("component")).checkpoint()
+        moved = stepped.join(jump, "next").select("node", "was", F.least("next", "far").alias("component")).checkpoint()
         labels = moved.select("node", "component")
         if moved.where("was <> component").isEmpty():
             return labels
