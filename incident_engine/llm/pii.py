@@ -42,14 +42,24 @@ DETECTORS = {
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|(?:sk|pk|ghp|xox[abp])[_\-][A-Za-z0-9_\-]{16,})(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}(?![0-9])(?!\.[0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9]{2,4}(?:[ .\-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![0-9(])\([0-9]{3}\) ?[0-9]{3}[.\-][0-9]{4}(?![0-9])|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?(?:[0-9]{2,4}(?:[ .\-]?[0-9]{2,4}){1,4}|[0-9](?:[ .\-][0-9]{2,4}){2,5})(?![0-9])|(?<![0-9(])\([0-9]{3}\) ?[0-9]{3}[.\-][0-9]{4}(?![0-9])|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}(?:[ \-]?[0-9]{4}){2}[ \-]?[0-9]{1,7}(?![0-9])",
     "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
     "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'’\-]+(?: \p{{Lu}}[\p{{L}}'’\-]+)?",
 }
 ANY = "|".join(f"(?:{p})" for p in DETECTORS.values())
-#: A text without any of these holds no entity; the full pattern is then not tried.
-HINT = rf"@|[0-9]{{3}}|[0-9]\.[0-9]|[0-9a-fA-F]{{32}}|(?:sk|pk|ghp|xox[abp])[_\-]|(?:{_TITLE})\.? \p{{Lu}}"
+#: By type, what every match of the detector contains: a text without any of these holds no entity.
+HINTS = {
+    "email": "@",
+    "secret": r"[0-9a-fA-F]{32}|AKIA[0-9A-Z]|(?:sk|pk|ghp|xox[abp])[_\-]",
+    "ip": r"[0-9]\.[0-9]",
+    "iban": "[A-Z]{2}[0-9]{2}",
+    "phone": r"\+[0-9]|[0-9]{3}",
+    "card": "[0-9]{4}",
+    "ssn": "[0-9]{3}-",
+    "name": rf"(?:{_TITLE})\.? \p{{Lu}}",
+}
+HINT = "|".join(HINTS[k] for k in DETECTORS)
 ROUNDS = 12
 
 
