@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from incident_engine.llm import bpe, mixing, near_dup, pii, quality, queries
 
 
+#: Jaccard similarity, in percent, from which the near-duplicates stage links two documents.
+NEAR_PERCENT = 80
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the compression bands."""
     return quality.keep_good(queries.prepared(spark, docs))
@@ -16,7 +20,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near duplicates."""
-    return near_dup.keep_first(queries.prepared(spark, docs))
+    return near_dup.keep_first(queries.prepared(spark, docs), percent=NEAR_PERCENT)
 
 
 def hide_persons(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ candidates is missed and copies are never expanded into all pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,11 +25,11 @@ from incident_engine.llm.batches import flat, map_texts, slices
 from incident_engine.llm.components import components
 
 WORDS = 5
-#: Links need PERCENT * |union| <= 100 * |intersection|.
+#: Links need percent * |union| <= 100 * |intersection|; this is the percent unless a caller gives another.
 PERCENT = 85
-#: Registers: BANDS x ROWS; base and rate of the scale, and its last value. At similarity 0.85 a pair
-#: misses all bands with a probability under 3e-7.
-BANDS, ROWS = 32, 6
+#: Registers of a set, and the probability with which a pair at the limit may miss all bands.
+REGISTERS, MISS = 192, 3e-7
+#: Base and rate of the registers' scale, and its last value.
 BASE, RATE, TOP = 1.001, 20.0, 65535
 #: A candidate is verified unless its estimate lies this many deviations under the limit.
 DEVIATIONS = 7.0
@@ -36,8 +37,18 @@ DEVIATIONS = 7.0
 BLOCK = 384
 
 _rng = np.random.Generator(np.random.PCG64(8051))
-_XOR = _rng.integers(0, 2**64, BANDS * ROWS, dtype=np.uint64)
-_MUL = _rng.integers(0, 2**64, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+_XOR = _rng.integers(0, 2**64, REGISTERS, dtype=np.uint64)
+_MUL = _rng.integers(0, 2**64, REGISTERS, dtype=np.uint64) | np.uint64(1)
+
+
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows for a limit: the longest bands by which a pair at the limit is missed with MISS at most."""
+    for rows in range(REGISTERS, 0, -1):
+        agree = (percent / 100) ** rows
+        bands = 1 if agree == 1 else math.ceil(math.log(MISS) / math.log1p(-agree)) if agree > 0 else REGISTERS + 1
+        if bands * rows <= REGISTERS:
+            return bands, rows
+    raise ValueError(f"{REGISTERS} registers are too few to find pairs of {percent} percent")
 
 
 def shingle_sets(column: pa.Array, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -66,9 +77,9 @@ def shingle_sets(column: pa.Array, size: int = WORDS) -> tuple[np.ndarray, np.nd
 
 def registers(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """SetSketch registers of non-empty sets, one row each."""
-    least = np.empty((len(at) - 1, BANDS * ROWS), np.uint64)
+    least = np.empty((len(at) - 1, REGISTERS), np.uint64)
     work = np.empty_like(hashes)
-    for i in range(BANDS * ROWS):
+    for i in range(REGISTERS):
         np.bitwise_xor(hashes, _XOR[i], out=work)
         np.multiply(work, _MUL[i], out=work)
         least[:, i] = np.minimum.reduceat(work, at[:-1])
@@ -134,38 +145,39 @@ def estimate(a: np.ndarray, b: np.ndarray, n1: np.ndarray, n2: np.ndarray) -> np
     return (low + high) / 2
 
 
-def _buckets(classes: DataFrame) -> DataFrame:
+def _buckets(classes: DataFrame, percent: int) -> DataFrame:
     """key, node for each band of each class."""
+    bands, length = banding(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u2").reshape(-1, BANDS, ROWS)
-            keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(rows), 1))
-            for r in range(ROWS):
+            rows = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u2").reshape(-1, REGISTERS)[:, : bands * length].reshape(-1, bands, length)
+            keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(rows), 1))
+            for r in range(length):
                 keys = W.mix(keys * np.uint64(0x9DDFEA08EB382D69) + rows[:, :, r])
-            nodes = np.repeat(batch.column("node").to_numpy(), BANDS)
+            nodes = np.repeat(batch.column("node").to_numpy(), bands)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(nodes)], ["key", "node"])
 
     return classes.select("node", "sketch").mapInArrow(run, "key long, node long")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose estimated similarity may reach the limit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        limit = PERCENT / 100
-        floor = limit - DEVIATIONS * np.sqrt(limit * (1 - limit) / (BANDS * ROWS))
+        limit = percent / 100
+        floor = limit - DEVIATIONS * np.sqrt(limit * (1 - limit) / (REGISTERS))
         for batch in batches:
-            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, BANDS * ROWS) for c in ("s_a", "s_b"))
+            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in ("s_a", "s_b"))
             n1, n2 = (batch.column(c).to_numpy().astype(float) for c in ("n_a", "n_b"))
-            good = (estimate(one, two, n1, n2) >= floor) & (100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2))
+            good = (estimate(one, two, n1, n2) >= floor) & (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2))
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     side = lambda x: classes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
 
 
-def _links(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the limit. `texts` holds id, text."""
     keys = classes.select(F.col("node").alias("id"), "k1")
 
@@ -197,13 +209,13 @@ def _links(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
                     if last[2] != k_a[x] or own is None or own[x - i] != k_b[x]:
                         continue
                     both = len(np.intersect1d(one, last[1], assume_unique=True))
-                    good[x] = 100 * both >= PERCENT * (len(one) + len(last[1]) - both)
+                    good[x] = 100 * both >= percent * (len(one) + len(last[1]) - both)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     return members.join(centres, "a").mapInArrow(run, "a long, b long").distinct()
 
 
-def _block_links(texts: pa.Array, nodes: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _block_links(texts: pa.Array, nodes: np.ndarray, parts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """All links between texts of different parts: shared shingles counted by matrix products."""
     hashes, at = shingle_sets(texts)
     sizes = np.diff(at).astype(float)
@@ -220,12 +232,12 @@ def _block_links(texts: pa.Array, nodes: np.ndarray, parts: np.ndarray) -> tuple
         has[row[i:j], place[i:j] - 4096 * k] = 1
         both += has @ has.T
     union = sizes[:, None] + sizes[None, :] - both
-    linked = (100 * both >= PERCENT * union) & (parts[:, None] != parts[None, :])
+    linked = (100 * both >= percent * union) & (parts[:, None] != parts[None, :])
     a, b = np.nonzero(np.triu(linked, 1))
     return nodes[a], nodes[b]
 
 
-def _left_links(left: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+def _left_links(left: DataFrame, texts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Links between different parts of buckets (key, node, part), by blocks of their clusters."""
     chains = left.groupBy("key").agg(F.min("node").alias("a")).join(left.select("key", F.col("node").alias("b")), "key")
     clusters = components(chains.select("a", "b").distinct())
@@ -249,48 +261,49 @@ def _left_links(left: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFr
         keep = np.flatnonzero(own == group["k1"].to_numpy())
         nodes, at = np.unique(group["node"].to_numpy()[keep], return_index=True)
         keep = keep[at]
-        a, b = _block_links(column.take(pa.array(keep)), nodes, group["part"].to_numpy()[keep])
+        a, b = _block_links(column.take(pa.array(keep)), nodes, group["part"].to_numpy()[keep], percent)
         return pa.table({"a": a, "b": b})
 
     return dealt.groupBy("component", "low", "high").applyInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """id, n, component for every row of `docs`: set size and smallest id of its near duplicates.
 
     Words are lower-cased in A to Z and shingled by five; a shorter text is one shingle of all its words.
     Null and empty texts, and rows without id, are linked with nothing: their component is their own id.
+    Pairs are linked from a Jaccard similarity of `percent` / 100 on, for which the bands are sized.
     Rows of equal text are linked; rows with the same id but other texts are judged on their own text.
     """
     rows = sketches(docs, doc_id, text).checkpoint()
     real = rows.where("n > 0 AND id IS NOT NULL")
     classes = real.groupBy("k1", "k2", "n").agg(F.min("id").alias("node"), F.first("sketch").alias("sketch")).checkpoint()
-    buckets = _buckets(classes)
+    buckets = _buckets(classes, percent)
     shared = buckets.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = buckets.join(shared.select("key", "least"), "key").checkpoint()
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
 
     bands = members.where("least <> node").groupBy("node", "least").agg(F.count(F.lit(1)).alias("bands"))
     most = bands.groupBy(F.col("node").alias("b")).agg(F.min_by("least", F.struct(-F.col("bands"), "least")).alias("a"))
-    likely = _likely(most.select("a", "b"), classes).checkpoint()
-    links = _links(likely, texts, classes).checkpoint()
+    likely = _likely(most.select("a", "b"), classes, percent).checkpoint()
+    links = _links(likely, texts, classes, percent).checkpoint()
     parts = components(links)
     placed = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
     mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
     left = placed.join(mixed.select("key"), "key").checkpoint()
     if not left.isEmpty():
-        parts = components(links.unionByName(_left_links(left, texts, classes)))
+        parts = components(links.unionByName(_left_links(left, texts, classes, percent)))
     named = classes.join(parts, "node", "left").select("k1", "k2", F.col("n").alias("size"), F.coalesce("component", "node").alias("component"))
     keyed = real.join(named, (real.k1 == named.k1) & (real.k2 == named.k2) & (real.n == named["size"])).select("id", "n", "component")
     alone = rows.where("n = 0 OR id IS NULL").select("id", "n", F.col("id").alias("component"))
     return keyed.unionByName(alone)
 
 
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of `docs` whose id is the smallest of their near duplicates, own columns only.
 
     Rows without an id stay.
     """
-    found = near_duplicates(docs, doc_id, text)
+    found = near_duplicates(docs, doc_id, text, percent)
     gone = found.where("id <> component").select(F.col("id").alias(doc_id)).distinct()
     return docs.join(gone, doc_id, "left_anti")

@@ -91,7 +91,7 @@ def op9_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of the shingle set and component of every document."""
-    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
     kept = F.coalesce(F.col("id") == F.col("component"), F.lit(True))
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), kept.alias("kept"))
 

@@ -1,6 +1,9 @@
 """Cases that earlier versions of the corpus operators left out."""
 
-from incident_engine.llm import pii, queries
+import random
+
+import corpus_pipeline
+from incident_engine.llm import near_dup, pii, queries
 
 SHAPES = {
     "email": ["a@b.co", "x.y+z@sub.host.org"],
@@ -28,3 +31,28 @@ def test_every_shape_alone_is_replaced(spark):
 def test_short_plus_numbers_are_no_phones(spark):
     df = queries.prepared(spark, spark.createDataFrame([(1, "+1 234 and +1 5 20 and +12 3")], "doc_id int, text string"))
     assert pii.replace(df, "k").first().n_replaced == 0
+
+
+def test_near_duplicates_follow_the_percent(spark):
+    rnd = random.Random(5)
+    rows, want = [], {80: {}, 85: {}}
+    for k in range(300):  # pairs of 120 words, one of them with some words less at its end
+        words = [f"a{k}x{rnd.randint(0, 10**6)}" for _ in range(120)]
+        cut = rnd.choice([14, 18, 20, 22, 23, 24, 30])
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[: 120 - cut]))]
+        for p in want:
+            want[p][2 * k + 1] = 2 * k + (100 * (116 - cut) < p * 116)
+    df = queries.prepared(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    for p in want:
+        got = {r.id: r.component for r in near_dup.near_duplicates(df, percent=p).collect()}
+        assert {d: got[d] for d in want[p]} == want[p]
+    assert {d for d in want[80] if want[80][d] != want[85][d]}
+    kept = {r.doc_id for r in corpus_pipeline.keep_first(spark, df, "").collect()}
+    assert kept == set(range(0, 600, 2)) | {d for d, c in want[80].items() if d == c}
+
+
+def test_bands_are_sized_for_the_percent():
+    assert near_dup.banding(85) == (32, 6)
+    for p in range(10, 100):
+        bands, rows = near_dup.banding(p)
+        assert bands * rows <= near_dup.REGISTERS and (1 - (p / 100) ** rows) ** bands <= near_dup.MISS
