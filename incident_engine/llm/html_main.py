@@ -3,7 +3,8 @@
 Every block of text has a path of element names from the root. Text length and punctuation are summed
 per path, as averages over the blocks of the path, fused, smoothed along the page, and compared with a
 threshold. The selected blocks vote for the element that holds the content; what lies in it is the main
-text, without elements that carry no article text (menus, forms, adverts, comments and so on).
+text, without elements that carry no article text (menus, forms, hidden parts and so on). A class or id
+that speaks of such a part deletes nothing: it makes a path of its own and lowers that path's score.
 """
 
 from __future__ import annotations
@@ -40,13 +41,17 @@ CLOSES = {
 }
 NOISE_TAGS = frozenset("nav aside footer form button dialog menu head noscript fieldset".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
-#: Words of class or id that mark parts of a page outside its article.
+#: Words of class or id that speak for a part of a page outside its article: the smoothed score of a
+#: block is multiplied by MARKED for each element around it with such a word.
+MARKED = 0.25
 NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent "
     "cookie cookies disclaimer footer form header login masthead menu modal nav navbar navigation newsletter notice "
     "notices notification pager pagination popup promo promotion reader related replies reply respond search share "
     "sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget".split()
 )
+#: Words that make a class name speak of the layout around a part, not of the part: has-sidebar, no-header.
+LAYOUT_WORDS = frozenset("has have no not with without".split())
 TAG = re.compile(
     r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|$)""",
     re.S,
@@ -66,6 +71,7 @@ class Block:
     elements: tuple[int, ...]
     text: str
     linked: int
+    marked: tuple[int, ...] = ()
 
 
 def _is_noise(tag: str, attributes: str, in_article: bool) -> bool:
@@ -75,8 +81,21 @@ def _is_noise(tag: str, attributes: str, in_article: bool) -> bool:
         key, value = key.lower(), next((v for v in values if v), "").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in NOISE_ROLES:
             return True
-        if key in ("class", "id") and tag not in ("html", "body", "article", "main") and NOISE_WORDS & set(WORD.findall(value)):
-            return True
+    return False
+
+
+def _is_marked(tag: str, attributes: str, in_article: bool) -> bool:
+    """Whether a class or id speaks for noise. Headings and the page's frame never do, nor the id of a section that
+    has other words too (a link's target), nor the word header inside an article, where it holds the title."""
+    if not attributes or tag in ("html", "body", "article", "main", *HEADINGS):
+        return False
+    for key, *values in ATTRIBUTE.findall(attributes):
+        key = key.lower()
+        for name in next((v for v in values if v), "").lower().split() if key in ("class", "id") else ():
+            found = WORD.findall(name)
+            noise = NOISE_WORDS & set(found) - ({"header"} if in_article else set())
+            if noise and not set(found) & LAYOUT_WORDS and not (key == "id" and tag == "section" and set(found) - noise):
+                return True
     return False
 
 
@@ -84,6 +103,7 @@ def blocks_of(page: str) -> list[Block]:
     """All blocks of text outside of noise, in page order, character references decoded."""
     out: list[Block] = []
     stack: list[tuple[str, int, bool]] = []  # name, element number, in noise
+    marks: set[int] = set()
     text: list[str] = []
     linked, made, at, n = 0, 0, 0, len(page)
 
@@ -93,12 +113,13 @@ def blocks_of(page: str) -> list[Block]:
             joined = " ".join(entities.unescape("".join(text)).split())
             if joined and not (stack and stack[-1][2]):
                 kept = [(t, e) for t, e, _ in stack if t in BLOCKS]
-                out.append(Block(tuple(t for t, _ in kept), tuple(e for _, e in kept), joined, linked))
+                marked = tuple(e for _, e, _ in stack if e in marks)
+                out.append(Block(tuple(t for t, _ in kept), tuple(e for _, e in kept), joined, linked, marked))
             text.clear()
         linked = 0
 
     def close(depth: int) -> None:
-        if any(t in BLOCKS for t, _, _ in stack[depth:]):
+        if any(t in BLOCKS or e in marks for t, e, _ in stack[depth:]):
             flush()
         del stack[depth:]
 
@@ -141,13 +162,32 @@ def blocks_of(page: str) -> list[Block]:
         made += 1
         inside = any(t in ("article", "main") for t, _, _ in stack)
         noise = bool(stack and stack[-1][2]) or _is_noise(tag, m[3], inside)
-        if noise and not (stack and stack[-1][2]):
+        mark = not noise and _is_marked(tag, m[3], inside)
+        if mark:
+            marks.add(made)
+        if mark or noise and not (stack and stack[-1][2]):
             flush()
         stack.append((tag, made, noise))
     flush()
     return out
 
 
+def with_wrappers_cleared(blocks: list[Block]) -> list[Block]:
+    """The blocks without the marks of elements that hold half of the page's unlinked text or more: such an
+    element wraps the content. A mark that is left changes the path, so that it is scored apart."""
+    held: dict[int, int] = defaultdict(int)
+    for b in blocks:
+        for e in b.marked:
+            held[e] += max(0, len(b.text) - b.linked)
+    total = sum(max(0, len(b.text) - b.linked) for b in blocks)
+    out = []
+    for b in blocks:
+        marked = tuple(e for e in b.marked if 2 * held[e] < total)
+        path = tuple(t + "*" if e in marked else t for t, e in zip(b.path, b.elements))
+        out.append(Block(path, b.elements, b.text, b.linked, marked))
+    return out
+
+
 def path_scores(blocks: list[Block]) -> dict[tuple[str, ...], float]:
     """Fused ratio per tag path: mean text length times the share of punctuation, links left out."""
     length, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
@@ -159,13 +199,15 @@ def path_scores(blocks: list[Block]) -> dict[tuple[str, ...], float]:
 
 
 def content_blocks(blocks: list[Block]) -> list[Block]:
-    """The blocks of the element that holds the paths over the threshold."""
+    """The blocks of the paths over the threshold, and what goes with them in the element that holds them."""
     if not blocks:
         return []
+    blocks = with_wrappers_cleared(blocks)
     score = path_scores(blocks)
     raw = [score[b.path] for b in blocks]
     total = sum(KERNEL)
     smooth = [sum(w * raw[i + k] for k, w in zip(range(-2, 3), KERNEL) if 0 <= i + k < len(raw)) / total for i in range(len(raw))]
+    smooth = [s * MARKED ** len(b.marked) for b, s in zip(blocks, smooth)]
     mean = sum(smooth) / len(smooth)
     threshold = min(mean, math.sqrt(sum((s - mean) ** 2 for s in smooth) / len(smooth)) or mean)
     by_path = defaultdict(list)
@@ -180,7 +222,7 @@ def content_blocks(blocks: list[Block]) -> list[Block]:
             total_chosen += len(b.text)
             for t, e in zip(b.path, b.elements):
                 weight[e] += len(b.text)
-                names[e] = t
+                names[e] = t.rstrip("*")
     articles = [e for e, t in names.items() if t in ("article", "main") and 2 * weight[e] >= total_chosen]
     if articles:
         root = max(articles)
@@ -188,7 +230,7 @@ def content_blocks(blocks: list[Block]) -> list[Block]:
         holders = [e for e in weight if 10 * weight[e] >= 9 * total_chosen and names[e] not in ("p", "li", "td", "th", *HEADINGS)]
         root = max(holders, default=None)
     inside = [b for b in blocks if root is None or root in b.elements]
-    return [b for b in inside if b.path in chosen or b.path[-1:] and b.path[-1] in HEADINGS or 2 * b.linked < len(b.text)]
+    return [b for b in inside if b.path in chosen or b.path[-1:] and b.path[-1] in HEADINGS or not b.marked and 2 * b.linked < len(b.text)]
 
 
 def main_text(page: str) -> str:

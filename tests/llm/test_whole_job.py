@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from incident_engine.llm import near_dup, pii, queries
+from incident_engine.llm import html_main, near_dup, pii, queries
 
 SHAPES = {
     "email": ["a@b.co", "x.y+z@sub.host.org"],
@@ -56,3 +56,26 @@ def test_bands_are_sized_for_the_percent():
     for p in range(10, 100):
         bands, rows = near_dup.banding(p)
         assert bands * rows <= near_dup.REGISTERS and (1 - (p / 100) ** rows) ** bands <= near_dup.MISS
+
+
+PARAS = [f"<p>Paragraph {w} of the text, with some words, and more of them; it goes on for a while, then it ends.</p>" for w in "one two three four five six".split()]
+BODY = "".join(PARAS)
+
+
+def test_class_words_delete_no_content():
+    for name in ("has-sidebar", "no-sidebar", "sticky-header", "with-nav", "sidebar", "page social"):
+        for page in (f"<body><div class='{name}'>{BODY}</div></body>", f"<body><div id=x class='{name}'><main>{BODY}</main></div><div>Imprint</div></body>"):
+            text = html_main.main_text(page)
+            assert all(f"Paragraph {w} " in text for w in "one two three four five six".split()), name
+    for tag, name in (("header", "entry-header"), ("div", "post-header")):
+        page = f"<body><article><{tag} class='{name}'><h1>The title</h1></{tag}>{BODY}</article></body>"
+        assert html_main.main_text(page).startswith("The title\n\nParagraph one")
+    page = f"<body><article>{BODY}<h2 id='related-work'>Related work</h2><p>Others, too, have done this.</p><section id='search-algorithms'><h2>Search</h2>{PARAS[0].replace('one', 'seven')}</section></article></body>"
+    text = html_main.main_text(page)
+    assert "Related work\n\nOthers" in text and "Search\n\nParagraph seven" in text
+
+
+def test_class_words_still_keep_noise_out():
+    noise = "<div class='ad'>Buy this, now.</div><div class='share-buttons'>Share, like, follow.</div><div id='comments'><ol class='comment-list'><li class='comment'><div class='comment-body'><p>Nice text, thanks.</p></div></li></ol></div>"
+    for page in (f"<body><article>{BODY}{noise}</article></body>", f"<body>{noise}<article>{BODY}</article></body>", f"<body><div>{BODY}</div>{noise}</body>"):
+        assert html_main.main_text(page) == "\n\n".join(p[3:-4] for p in PARAS)
