@@ -2,8 +2,9 @@
 
 Every block of text has a path of element names from the root. Text length and punctuation are summed
 per path, as averages over the blocks of the path, fused, smoothed along the page, and compared with a
-threshold. The selected blocks vote for the element that holds the content; what lies in it is the main
-text, without elements that carry no article text (menus, forms, hidden parts and so on). A class or id
+threshold. The blocks of selected paths are main text wherever they stand. They vote for the element that
+holds the content, and headings and short items in it, or in a selected block's own container, go along, all
+without elements that carry no article text (menus, forms, hidden parts and so on). A class or id
 that speaks of such a part deletes nothing: it makes a path of its own and lowers that path's score.
 """
 
@@ -30,6 +31,8 @@ BLOCKS = frozenset(
     "tbody td tfoot th thead tr ul".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that group blocks of one piece of text.
+HOLDERS = frozenset("article main section div blockquote td".split())
 #: Elements that an opening tag of the key closes, if no element of the second set lies between.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -229,8 +232,18 @@ def content_blocks(blocks: list[Block]) -> list[Block]:
     else:  # the deepest element that holds nearly all chosen text
         holders = [e for e in weight if 10 * weight[e] >= 9 * total_chosen and names[e] not in ("p", "li", "td", "th", *HEADINGS)]
         root = max(holders, default=None)
-    inside = [b for b in blocks if root is None or root in b.elements]
-    return [b for b in inside if b.path in chosen or b.path[-1:] and b.path[-1] in HEADINGS or not b.marked and 2 * b.linked < len(b.text)]
+    beside = {_holder(b) for b in blocks if b.path in chosen and root not in b.elements} - {None}
+    return [b for b in blocks if b.path in chosen or (root is None or root in b.elements or _holder(b) in beside) and _goes_along(b)]
+
+
+def _holder(b: Block) -> int | None:
+    """The innermost element around a block that groups blocks; none if that is the page itself."""
+    return next((e for t, e in zip(reversed(b.path), reversed(b.elements)) if t.rstrip("*") in HOLDERS), None)
+
+
+def _goes_along(b: Block) -> bool:
+    """Whether a block that its own path does not select belongs to the selected ones beside it."""
+    return b.path[-1:] and b.path[-1] in HEADINGS or not b.marked and 2 * b.linked < len(b.text)
 
 
 def main_text(page: str) -> str:

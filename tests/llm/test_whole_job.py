@@ -79,3 +79,13 @@ def test_class_words_still_keep_noise_out():
     noise = "<div class='ad'>Buy this, now.</div><div class='share-buttons'>Share, like, follow.</div><div id='comments'><ol class='comment-list'><li class='comment'><div class='comment-body'><p>Nice text, thanks.</p></div></li></ol></div>"
     for page in (f"<body><article>{BODY}{noise}</article></body>", f"<body>{noise}<article>{BODY}</article></body>", f"<body><div>{BODY}</div>{noise}</body>"):
         assert html_main.main_text(page) == "\n\n".join(p[3:-4] for p in PARAS)
+
+
+def test_selected_blocks_stay_wherever_they_stand():
+    long = BODY * 3
+    intro, end = (f"<p>{w} of the text, with some words, and more of them; it goes on for a while, then it ends.</p>" for w in ("Introduction", "Closing words"))
+    whole = html_main.main_text(f"<body><div class='intro'>{intro}</div><div class='text'>{long}</div><div class='end'>{end}</div></body>")
+    assert whole.startswith("Introduction of") and "\n\nClosing words of" in whole and whole.count("Paragraph") == 18
+    two = f"<body><article><h1>First</h1>{BODY}</article><article><h1>Second</h1>{''.join(PARAS[:4]).replace('Paragraph', 'Chapter')}</article></body>"
+    text = html_main.main_text(two)
+    assert text.count("Paragraph") == 6 and text.count("Chapter") == 4 and "First\n\n" in text and "Second\n\n" in text
