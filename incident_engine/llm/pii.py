@@ -3,12 +3,15 @@
 Column expressions only. A surrogate is a function of a secret key, the entity's type and its canonical
 form, so every mention of an entity gets the same surrogate wherever it stands (coreference), written in
 the mention's own format. The table of all distinct entities is checked: a surrogate that another entity
-has, or that is itself an entity of the corpus, is drawn again with the next salt (distinctness).
+has, or that is itself an entity of the corpus, is drawn again with the next salt (distinctness). Names are
+drawn as a first name and a last name; persons of one last name share its surrogate, also where it stands
+alone. Every salt adds a part to a drawn name, so there are surrogates for any number of names.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,6 +63,7 @@ HINTS = {
     "name": rf"(?:{_TITLE})\.? \p{{Lu}}",
 }
 HINT = "|".join(HINTS[k] for k in DETECTORS)
+#: Draws without any success after which entities of a fixed format have no free surrogate left.
 ROUNDS = 12
 
 
@@ -99,10 +103,19 @@ def _of(choices: str | list[str], value: Column) -> Column:
     return F.element_at(F.array(*[F.lit(c) for c in choices]), (value % len(choices) + 1).cast("int"))
 
 
-def _other(choices: list[str], value: Column, own: Column) -> Column:
-    """A choice by value, or the next one where that is the name itself."""
-    pick = _of(choices, value)
-    return F.when(F.lower(pick) == own, _of(choices, value + 1)).otherwise(pick)
+def _drawn(pool: Column, stream: Column, at: int, salt: Column, own: Column) -> Column:
+    """A name of salt + 1 parts by the bytes from `at` on; the first part is never `own`."""
+
+    def part(i: Column) -> Column:
+        nth = lambda k: F.element_at(pool, (k % F.size(pool) + 1).cast("int"))
+        value = _byte(stream, i + at)
+        return F.when(F.lower(nth(value)) == own, nth(value + 1)).otherwise(nth(value))
+
+    return F.array_join(F.transform(F.sequence(F.lit(0), salt), part), "-")
+
+
+def _names(words: list[str]) -> Column:
+    return F.array(*[F.lit(w) for w in words])
 
 
 def _redraw(plain: Column, stream: Column, letters: str) -> Column:
@@ -126,10 +139,11 @@ def surrogate(key: str, kind: Column, entity: Column, gender: Column, salt: Colu
     """The canonical surrogate of a canonical entity, by key and salt.
 
     Domains keep their last label and a reserved `example` label, numbers their leading country code or
-    network digit, valid card numbers stay valid, and names are drawn by gender and script, never the own.
+    network digit, valid card numbers stay valid, and names are drawn by gender and script, never the own: kind
+    "last" is a last name, and "first" the first name of a full name.
     """
     seed = F.concat_ws("\x1f", F.lit(key), kind, entity, salt.cast("string"))
-    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.length(entity) / 32).cast("int")), lambda b: F.sha2(F.concat_ws("\x1f", seed, b.cast("string")), 256))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.length(entity) + salt + 2) / 32).cast("int")), lambda b: F.sha2(F.concat_ws("\x1f", seed, b.cast("string")), 256))
     stream = F.array_join(blocks, "")
     alphabet = "abcdefghijklmnopqrstuvwxyz"
     tail = F.regexp_extract(entity, r"((?:\.example)?\.[a-z]{2,})$", 1)
@@ -142,12 +156,13 @@ def surrogate(key: str, kind: Column, entity: Column, gender: Column, salt: Colu
     card = F.when(luhn_sum(entity) % 10 == 0, checked).otherwise(card)
     hexed = _redraw(entity, stream, "abcdef")
     secret = F.when(entity.rlike("^[0-9a-f]+$"), hexed).otherwise(tied(4))
-    firsts = [F.when((script(entity) == s) & (F.when(gender == "", F.when(_byte(stream, F.lit(0)) % 2 == 0, "m").otherwise("f")).otherwise(gender) == g), _other(pool, _byte(stream, F.lit(1)), F.substring_index(entity, " ", 1))) for (s, g), pool in FIRST.items()]
-    lasts = lambda at: F.coalesce(*[F.when(script(entity) == s, _other(pool, _byte(stream, F.lit(at)), F.substring_index(entity, " ", -1))) for s, pool in LAST.items()])
-    last = F.when(salt > 0, F.concat_ws("-", lasts(2), lasts(3), F.when(salt > 3, lasts(4)), F.when(salt > 6, lasts(5)))).otherwise(lasts(2))
-    name = F.when(entity.contains(" "), F.concat_ws(" ", F.coalesce(*firsts), last)).otherwise(last)
+    drawn_gender = F.when(gender != "", gender).when(_byte(stream, F.lit(0)) % 2 == 0, "m").otherwise("f")
+    firsts = F.coalesce(*[F.when((script(entity) == s) & (drawn_gender == g), _names(pool)) for (s, g), pool in FIRST.items()])
+    lasts = F.coalesce(*[F.when(script(entity) == s, _names(pool)) for s, pool in LAST.items()])
+    first = _drawn(firsts, stream, 1, salt, F.substring_index(entity, " ", 1))
+    last = _drawn(lasts, stream, 0, salt, entity)
     return (
-        F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "name", name).when(kind == "card", card)
+        F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "first", first).when(kind == "last", last).when(kind == "card", card)
         .when(kind == "secret", secret).when(kind == "iban", tied(2)).when(kind == "phone", tied(1)).otherwise(_redraw(entity, stream, alphabet))
     )
 
@@ -168,26 +183,45 @@ def written(kind: Column, mention: Column, new: Column) -> Column:
 
 
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
-    """kind, entity, new for distinct (kind, entity, gender), no surrogate twice and none an entity itself.
+    """kind, entity, new for distinct (kind, entity, gender), no surrogate twice and none an entity itself."""
+    entities = entities.checkpoint()
+    named = F.col("kind") == "name"
+    last = F.substring_index("entity", " ", -1)
+    whole = entities.where(~named).withColumn("scope", F.lit(""))
+    lasts = entities.where(named).select(F.lit("last").alias("kind"), last.alias("entity"), F.lit("").alias("gender"), F.lit("").alias("scope")).distinct()
+    firsts = entities.where(named & F.col("entity").contains(" ")).withColumn("scope", last).withColumn("kind", F.lit("first"))
+    drawn = _draw(whole.unionByName(lasts).unionByName(firsts), key)
+    of = lambda kind, column, new: drawn.where(F.col("kind") == kind).select(F.col("entity").alias(column), F.col("new").alias(new))
+    names = entities.where(named).withColumn("last", last).join(of("last", "last", "new_last"), "last").join(of("first", "entity", "new_first"), "entity", "left")
+    names = names.select("kind", "entity", F.concat_ws(" ", "new_first", "new_last").alias("new"))
+    return drawn.where(~F.col("kind").isin("first", "last")).unionByName(names)
+
+
+def _draw(entities: DataFrame, key: str) -> DataFrame:
+    """kind, entity, new for (kind, entity, gender, scope), no surrogate twice in a scope and none an entity itself.
 
     Each round draws for the entities that have none yet and keeps the draws that are free; the order of
-    names decides between two entities with the same draw. Raises if some remain after ROUNDS rounds.
+    entities decides between two with the same draw. Names get longer with each round and so always end. Raises if
+    ROUNDS rounds on end place nothing, as when a corpus fills the numbers of a fixed format.
     """
     entities = entities.checkpoint()
+    real = entities.select("kind", F.col("entity").alias("lower"))
     done: list[DataFrame] = []
-    left = entities
-    for salt in range(ROUNDS):
+    left, idle = entities, 0
+    for salt in count(0):
         drawn = left.withColumn("new", surrogate(key, F.col("kind"), F.col("entity"), F.col("gender"), F.lit(salt)))
-        rank = F.row_number().over(Window.partitionBy("kind", "new").orderBy("entity"))
+        rank = F.row_number().over(Window.partitionBy("kind", "scope", "new").orderBy("entity"))
         free = drawn.withColumn("rank", rank).where("rank = 1").drop("rank")
-        free = free.join(entities.select("kind", F.col("entity").alias("new")), ["kind", "new"], "left_anti")
-        for d in done:
-            free = free.join(d.select("kind", "new"), ["kind", "new"], "left_anti")
-        done.append(free.select("kind", "entity", "new").checkpoint())
+        free = free.withColumn("lower", F.lower("new")).where("kind <> 'first' OR lower <> substring_index(entity, ' ', 1)").join(real, ["kind", "lower"], "left_anti")
+        if done:
+            free = free.join(reduce(DataFrame.unionByName, done).select("kind", "scope", "new"), ["kind", "scope", "new"], "left_anti")
+        done.append(free.select("kind", "scope", "entity", "new").checkpoint())
         left = left.join(done[-1], ["kind", "entity"], "left_anti").checkpoint()
         if left.isEmpty():
-            return reduce(DataFrame.unionByName, done)
-    raise ValueError("too few surrogates for the names of the corpus; extend the pools")
+            return reduce(DataFrame.unionByName, done).drop("scope")
+        idle = idle + 1 if done[-1].isEmpty() else 0
+        if idle == ROUNDS:
+            raise ValueError("no free surrogate of the same format for " + ", ".join(sorted(r.kind for r in left.select("kind").distinct().collect())))
 
 
 def replace(docs: DataFrame, key: str, text: str = "text", count: str = "n_replaced") -> DataFrame:

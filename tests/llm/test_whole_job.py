@@ -89,3 +89,13 @@ def test_selected_blocks_stay_wherever_they_stand():
     two = f"<body><article><h1>First</h1>{BODY}</article><article><h1>Second</h1>{''.join(PARAS[:4]).replace('Paragraph', 'Chapter')}</article></body>"
     text = html_main.main_text(two)
     assert text.count("Paragraph") == 6 and text.count("Chapter") == 4 and "First\n\n" in text and "Second\n\n" in text
+
+
+def test_names_never_run_out(spark):
+    letters = "αβγδεζηθικλμνξοπ"
+    word = lambda i: "Ω" + "".join(letters[i >> k & 15] for k in (0, 4, 8))
+    rows = [(i, f"Κύριος {word(i)}") for i in range(3000)] + [(3000 + i, f"Κυρία {word(i)} {word(7)}") for i in range(600)]
+    df = queries.prepared(spark, spark.createDataFrame(rows, "doc_id int, text string"))
+    got = {r.doc_id: r.text for r in pii.replace(df, "k").collect()}
+    assert len(set(got.values())) == len(got) == 3600 and not {t for _, t in rows} & set(got.values())
+    assert {got[3000 + i].split(" ")[2] for i in range(600)} == {got[7].split(" ")[1]}
