@@ -2,7 +2,8 @@
 
 Column expressions only. A surrogate is a function of a secret key, the entity's type and its canonical
 form, so every mention of an entity gets the same surrogate wherever it stands (coreference), written in
-the mention's own format. The table of all distinct entities is checked: a surrogate that another entity
+the mention's own format. A name is found behind a title, and then its full form and its last name are found
+everywhere in the same text without one. The table of all distinct entities is checked: a surrogate that another entity
 has, or that is itself an entity of the corpus, is drawn again with the next salt (distinctness). Names are
 drawn as a first name and a last name; persons of one last name share its surrogate, also where it stands
 alone. Every salt adds a part to a drawn name, so there are surrogates for any number of names.
@@ -39,6 +40,8 @@ LAST = {
 }
 
 _TITLE = "|".join([*TITLES["m"], *TITLES["f"], *NEUTRAL_TITLES])
+#: A part of a name, without the ending of a possessive.
+_WORD = r"\p{Lu}(?:\p{L}|-(?=\p{L})|['’](?=\p{L}{2}))+"
 #: Detectors by type, tried in this order at every place of a text.
 DETECTORS = {
     "email": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9](?:[A-Za-z0-9.\-]*[A-Za-z0-9])?\.[A-Za-z]{2,}",
@@ -48,7 +51,7 @@ DETECTORS = {
     "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?(?:[0-9]{2,4}(?:[ .\-]?[0-9]{2,4}){1,4}|[0-9](?:[ .\-][0-9]{2,4}){2,5})(?![0-9])|(?<![0-9(])\([0-9]{3}\) ?[0-9]{3}[.\-][0-9]{4}(?![0-9])|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}(?:[ \-]?[0-9]{4}){2}[ \-]?[0-9]{1,7}(?![0-9])",
     "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
-    "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'’\-]+(?: \p{{Lu}}[\p{{L}}'’\-]+)?",
+    "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? {_WORD}(?: {_WORD})?",
 }
 ANY = "|".join(f"(?:{p})" for p in DETECTORS.values())
 #: By type, what every match of the detector contains: a text without any of these holds no entity.
@@ -67,22 +70,44 @@ HINT = "|".join(HINTS[k] for k in DETECTORS)
 ROUNDS = 12
 
 
+def bare(mention: Column) -> Column:
+    """A mention of a name without its title."""
+    return F.regexp_replace(mention, rf"^(?:{_TITLE})\.? ", "")
+
+
+def pattern(text: Column) -> Column:
+    """The pattern of all entities of a text: the detectors, then the names they find without their titles.
+
+    The names are looked for as they stand, in capitals and with initials, in full and as the last name.
+    """
+    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    full = F.transform(F.filter(found, lambda m: m.rlike(rf"^(?:{DETECTORS['name']})$")), bare)
+    names = F.concat(full, F.transform(full, lambda n: F.substring_index(n, " ", -1)))
+    names = F.array_distinct(F.concat(names, F.transform(names, F.upper), F.transform(names, F.initcap)))
+    longest = F.transform(F.array_sort(F.transform(names, lambda n: F.struct((-F.length(n)).alias("size"), n.alias("name")))), lambda x: x["name"])
+    again = F.concat(F.lit(rf"{ANY}|(?<!\p{{L}})(?<!\p{{L}}['’\-])(?:"), F.array_join(longest, "|"), F.lit(r")(?!['’\-]?\p{L}{2}|\p{L})"))
+    named = text.rlike(HINTS["name"])
+    return F.when(named & (F.size(longest) > 0), again).otherwise(F.lit(ANY))
+
+
 def mentions(text: Column) -> Column:
     """All mentions in page order; an empty array where there are none, also for a null."""
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    plain = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    found = F.when(text.rlike(HINTS["name"]), F.regexp_extract_all(text, pattern(text), F.lit(0))).otherwise(plain)
     return F.when(text.rlike(HINT), found).otherwise(F.array().cast("array<string>"))
 
 
 def entity_type(mention: Column) -> Column:
-    """The first type whose detector matches the whole mention."""
+    """The first type whose detector matches the whole mention; a name without its title has none."""
     kinds = [F.when(mention.rlike(rf"^(?:{p})$"), F.lit(k)) for k, p in DETECTORS.items()]
-    return F.coalesce(*kinds, F.lit("secret"))
+    untitled = F.when(mention.rlike(rf"^{_WORD}(?: {_WORD})?$"), "name")
+    return F.coalesce(*kinds, untitled, F.lit("secret"))
 
 
 def canonical(kind: Column, mention: Column) -> Column:
     """What mentions of one entity have in common: letters and digits in lower case, without a title."""
     plain = F.lower(F.regexp_replace(mention, r"[^\p{L}0-9]", ""))
-    name = F.lower(F.regexp_replace(mention, rf"^(?:{_TITLE})\.? ", ""))
+    name = F.lower(bare(mention))
     return F.when(kind.isin("email", "ip"), F.lower(mention)).when(kind == "name", name).otherwise(plain)
 
 
@@ -177,8 +202,8 @@ def written(kind: Column, mention: Column, new: Column) -> Column:
         lambda x: F.when(~x["c"].rlike(r"[\p{L}0-9]"), x["c"]).when(x["c"].rlike(r"\p{Lu}"), F.upper(F.substring(plain, x["n"], F.lit(1)))).otherwise(F.substring(plain, x["n"], F.lit(1))),
     )
     title = F.regexp_extract(mention, rf"^((?:{_TITLE})\.? )", 1)
-    bare = F.substring(mention, F.length(title) + 1, F.length(mention))
-    named = F.concat(title, F.when(bare == F.upper(bare), F.upper(new)).otherwise(new))
+    own = bare(mention)
+    named = F.concat(title, F.when(own == F.upper(own), F.upper(new)).otherwise(new))
     return F.when(kind == "ip", new).when(kind == "name", named).otherwise(F.array_join(placed, ""))
 
 
@@ -247,7 +272,7 @@ def replace(docs: DataFrame, key: str, text: str = "text", count: str = "n_repla
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "new"))), lambda x: x["new"]).alias("new"))
     )
     has = F.col(text).rlike(HINT) & F.col(text).rlike(ANY)
-    pieces = F.split(F.col(text), ANY, -1)
+    pieces = F.when(F.col(text).rlike(HINTS["name"]), F.split(F.col(text), pattern(F.col(text)), -1)).otherwise(F.split(F.col(text), ANY, -1))
     rebuilt = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(F.col(parts), i), F.lit("")))), "")
     own = [f"`{c}`" for c in docs.columns]
     touched = (

@@ -1,6 +1,7 @@
 """Cases that earlier versions of the corpus operators left out."""
 
 import random
+import re
 
 import corpus_pipeline
 from incident_engine.llm import html_main, near_dup, pii, queries
@@ -99,3 +100,22 @@ def test_names_never_run_out(spark):
     got = {r.doc_id: r.text for r in pii.replace(df, "k").collect()}
     assert len(set(got.values())) == len(got) == 3600 and not {t for _, t in rows} & set(got.values())
     assert {got[3000 + i].split(" ")[2] for i in range(600)} == {got[7].split(" ")[1]}
+
+
+def test_names_are_found_again_without_titles(spark):
+    rows = [
+        (1, "Mr. James Brown called. James Brown said that Brown left; JAMES BROWN's car, Mr. Brown's car, Dr. Brown. Brownish, Smith-Brown and brown stay."),
+        (2, "James Brown and Brown have no title here."),
+        (3, "Brown met Frau O'Neil-Kunze and Miss Zoe Ångström; O'Neil-Kunze, Ångström, Zoe Ångström."),
+        (4, "Later Mr. Brown came: Brown."),
+    ]
+    df = queries.prepared(spark, spark.createDataFrame(rows, "doc_id int, text string"))
+    got = {r.doc_id: r for r in pii.replace(df, "k").collect()}
+    m = re.fullmatch(r"Mr\. (\w+) (\w\S*) called\. (.*)", got[1].text)
+    first, last = m[1], m[2]
+    assert m[3] == f"{first} {last} said that {last} left; {first.upper()} {last.upper()}'s car, Mr. {last}'s car, Dr. {last}. Brownish, Smith-Brown and brown stay."
+    assert got[1].n_replaced == 6 and got[2].text == rows[1][1] and got[2].n_replaced == 0
+    assert got[4].text == f"Later Mr. {last} came: {last}."
+    m = re.fullmatch(r"Brown met Frau (\S+) and Miss (\w+) (\S+); (\S+), (\S+), (\w+) (\S+)\.", got[3].text)
+    assert m[1] == m[4] and m[3] == m[5] == m[7] and m[2] == m[6] and got[3].n_replaced == 5
+    assert not any(w in got[3].text for w in ("Neil", "Kunze", "Zoe", "Ångström"))
