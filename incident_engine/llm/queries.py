@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incident_engine import scratch
-from incident_engine.llm import ann, bpe, html_main, mixing, near_dup, pii, quality, substring_dedup, suffix_dedup, toxicity
+from incident_engine.llm import ann, bpe, filter_audit, html_main, mixing, near_dup, pii, quality, substring_dedup, suffix_dedup, toxicity
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -113,6 +113,13 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op11_decision_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of five filters in all their orders, per language."""
+    part = F.coalesce("lang", F.lit(""))
+    masks = filter_audit.failure_masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), part)
+    return filter_audit.audit(masks, outcomes=("good", "toxic"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nn_descent": op1_nn_descent,
     "op6_counterfactual": op6_counterfactual,
@@ -124,10 +131,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_tag_path_ratios": op10_tag_path_ratios,
     "op3_compression_bands": op3_compression_bands,
     "op4_byte_bpe": op4_byte_bpe,
+    "op11_decision_diagrams": op11_decision_diagrams,
 }
 
 
 def statements() -> dict[str, str]:
     levels = [e for _, e in MIX_LEVELS]
     mix = mixing.statement(levels, MIX_WEIGHTS, MIX_BUDGET, MIX_EPOCHS, MIX_SEED, "doc_id, lang, source")
-    return {"op7_hierarchical_mix": mix}
+    return {"op7_hierarchical_mix": mix, "op11_decision_diagrams": filter_audit.statement()}
