@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incident_engine import scratch
-from incident_engine.llm import ann, bpe, filter_audit, html_main, mixing, near_dup, pii, quality, substring_dedup, suffix_dedup, toxicity
+from incident_engine.llm import ann, bpe, filter_audit, html_main, mixing, near_dup, pii, quality, substring_dedup, suffix_dedup, toxicity, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -120,6 +120,19 @@ def op11_decision_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(masks, outcomes=("good", "toxic"))
 
 
+def op12_monolithic_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of the normalised archives of all pages."""
+    found = warc.archive(table(spark, sf_dir, "pages"), scratch.scratch_path(spark, "warc"))
+    records = warc.read_archives(spark, found.normalised)
+
+    def page(column: str) -> Column:
+        return F.regexp_extract(column, f"^<{warc.ID_PREFIX}(-?[0-9]+)>$", 1).try_cast("long")
+
+    return records.select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), page("refers_to").alias("refers_to")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nn_descent": op1_nn_descent,
     "op6_counterfactual": op6_counterfactual,
@@ -132,10 +145,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_compression_bands": op3_compression_bands,
     "op4_byte_bpe": op4_byte_bpe,
     "op11_decision_diagrams": op11_decision_diagrams,
+    "op12_monolithic_gzip": op12_monolithic_gzip,
 }
 
 
 def statements() -> dict[str, str]:
     levels = [e for _, e in MIX_LEVELS]
     mix = mixing.statement(levels, MIX_WEIGHTS, MIX_BUDGET, MIX_EPOCHS, MIX_SEED, "doc_id, lang, source")
-    return {"op7_hierarchical_mix": mix, "op11_decision_diagrams": filter_audit.statement()}
+    return {
+        "op7_hierarchical_mix": mix,
+        "op11_decision_diagrams": filter_audit.statement(),
+        "op12_monolithic_gzip": warc.statement(),
+    }
