@@ -11,7 +11,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incident_engine import scratch
-from incident_engine.llm import ann, bpe, filter_audit, html_main, mixing, near_dup, pii, quality, substring_dedup, suffix_dedup, toxicity, warc
+from incident_engine.llm import (
+    ann,
+    bpe,
+    filter_audit,
+    html_main,
+    mixing,
+    near_dup,
+    periodic_runs,
+    pii,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -133,6 +147,45 @@ def op12_monolithic_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where every tenth text by hash of its id repeats one stretch of its words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n = F.size(words)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    times = F.ceil((n - a) / p).cast("int")
+    repeated = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), n - a)
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), a), repeated), " ")
+    return docs.select("doc_id", F.when((h % 10 == 0) & (n > 0), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_scale_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, the strongest of them, and the digest of what is left."""
+    found = periodic_runs.collapse_runs(with_planted_runs(table(spark, sf_dir, "documents")), as_digest=True)
+
+    def stronger(x: Column, y: Column) -> Column:
+        ahead, behind = x["length"] * y["period"], y["length"] * x["period"]
+        order = F.when(ahead > behind, -1).when(ahead < behind, 1)
+        for key in ("start", "period"):
+            order = order.when(x[key] < y[key], -1).when(x[key] > y[key], 1)
+        return order.otherwise(0)
+
+    best = F.get(F.array_sort("runs", stronger), F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.col("collapsed").alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nn_descent": op1_nn_descent,
     "op6_counterfactual": op6_counterfactual,
@@ -146,6 +199,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op11_decision_diagrams": op11_decision_diagrams,
     "op12_monolithic_gzip": op12_monolithic_gzip,
+    "op13_scale_tiles": op13_scale_tiles,
 }
 
 
