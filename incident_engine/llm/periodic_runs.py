@@ -21,7 +21,6 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -236,8 +235,7 @@ def collapse_runs(docs: DataFrame, text: str = "text", as_digest: bool = False)
                 head = batch.slice(i, j - i)
                 columns = list(head.columns)
                 if as_digest:  # texts without tiles are done with
-                    done = pa.array([r is not None for r in rests])
-                    columns[at] = pc.if_else(done, pa.scalar(None, columns[at].type), columns[at])
+                    columns[at] = columns[at].take(pa.array([k if r is None else None for k, r in enumerate(rests)], pa.int64()))
                 numbers = pa.array(range(row - len(rests) + 1, row + 1), pa.int64())
                 blank = [pa.nulls(len(rests), t) for t in kinds[width + 2 :]]
                 yield pa.RecordBatch.from_arrays([*columns, numbers, pa.array(rests, pa.string()), *blank], titles)
