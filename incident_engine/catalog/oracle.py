@@ -153,7 +153,9 @@ def nearest(centres) -> str:
 LABELLED = f"""{POINTS},
 labelled AS (SELECT *, {nearest(C.HOTSPOTS)} AS prediction FROM points)"""
 
-PROFILE = f"""{LABELLED},
+def profile_of(labels: str) -> str:
+    """The cluster profile of the CTE `labelled` that some CTEs end in."""
+    return f"""{labels},
 type_counts AS (
   SELECT prediction, violation_type,
     row_number() OVER (PARTITION BY prediction ORDER BY count(*) DESC, violation_type) AS place
@@ -172,6 +174,9 @@ centroids AS (
 )"""
 
 
+PROFILE = profile_of(LABELLED)
+
+
 def with_(ctes: str, select: str) -> str:
     return f"WITH {ctes.strip()}\n{select.strip()}"
 
@@ -219,12 +224,12 @@ FROM start LEFT JOIN members ON start.id = members.id GROUP BY start.id""",
     )
 
 
-def lloyd_clusters() -> str:
-    """Lloyd's algorithm as a recursion that ends with the pass after which no centre moves."""
-    k = len(q.LLOYD_START)
+def lloyd_passes(start: str, k: int = 5) -> tuple[str, str]:
+    """CTEs of Lloyd's algorithm, ending in the row `centres`, and the label of a place by them.
+
+    A recursion that ends with the pass after which no centre moves; `start` selects a0, b0, a1 and so on.
+    """
     names = [f"{ax}{i}" for i in range(k) for ax in "ab"]
-    start = ", ".join(f"{_double(v)} AS {axis}{i}" for i, c in enumerate(q.LLOYD_START)
-                      for axis, v in zip(("a", "b"), c))
     distances = ", ".join(f"sqrt((lat - a{i}) * (lat - a{i}) + (lon - b{i}) * (lon - b{i}))"
                           for i in range(k))
     label = f"list_position([{distances}], list_min([{distances}])) - 1"
@@ -236,10 +241,8 @@ def lloyd_clusters() -> str:
     first = ", ".join(f"any_value({n}) AS {n}" for n in names)
     still = " AND ".join(f"abs({n} - n_{n}) <= 1e-5 + 1e-5 * abs(n_{n})" for n in names)
     kept = ", ".join(f"CASE WHEN {still} THEN {n} ELSE n_{n} END" for n in names)
-    return with_(
-        f"""{POINTS},
-passes(pass, done, {old}) AS (
-  SELECT 0, false, * FROM (SELECT {start})
+    return f"""passes(pass, done, {old}) AS (
+  SELECT 0, false, * FROM ({start})
   UNION ALL
   SELECT pass + 1, {still}, {kept} FROM (
     SELECT pass, {first}, {means} FROM (
@@ -247,11 +250,126 @@ passes(pass, done, {old}) AS (
     ) GROUP BY pass
   )
 ),
-centres AS (SELECT * FROM passes ORDER BY pass DESC LIMIT 1)""",
+centres AS (SELECT * FROM passes ORDER BY pass DESC LIMIT 1)""", f"({label})::INTEGER"
+
+
+def recursive(ctes: str, select: str) -> str:
+    return with_(ctes, select).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def lloyd_clusters() -> str:
+    start = ", ".join(f"{_double(v)} AS {axis}{i}" for i, c in enumerate(q.LLOYD_START)
+                      for axis, v in zip(("a", "b"), c))
+    passes, label = lloyd_passes(f"SELECT {start}")
+    return recursive(
+        f"{POINTS},\n{passes}",
         f"""
-SELECT violation_id, lat, lon, ({label})::INTEGER AS prediction, violation_type, done AS settled
+SELECT violation_id, lat, lon, {label} AS prediction, violation_type, done AS settled
 FROM points, centres""",
-    ).replace("WITH ", "WITH RECURSIVE ", 1)
+    )
+
+
+def _start_row(table: str, k: int = 5) -> str:
+    """The numbered places of a table as one row."""
+    return "SELECT " + ", ".join(
+        f"max({col}) FILTER (k = {i + 1}) AS {ax}{i}" for i in range(k) for ax, col in (("a", "lat"), ("b", "lon"))
+    ) + f" FROM {table}"
+
+
+def lloyd_sampled_centroids() -> str:
+    passes, label = lloyd_passes(_start_row("drawn"))
+    labels = f"""{POINTS},
+drawn AS (
+  SELECT lat, lon, row_number() OVER (ORDER BY md5('42:' || violation_id), violation_id, lat, lon) AS k
+  FROM points QUALIFY k <= 5
+),
+{passes},
+labelled AS (SELECT points.*, {label} AS prediction FROM points, centres)"""
+    return recursive(profile_of(labels), "SELECT * FROM centroids")
+
+
+def _square(a: str, b: str) -> str:
+    return f"(({a}.lat - {b}.lat) * ({a}.lat - {b}.lat) + ({a}.lon - {b}.lon) * ({a}.lon - {b}.lon))"
+
+
+def kmeans(k: int = 5, seed: int = 42, rounds: int = 3) -> str:
+    """CTEs of k-means, ending in `labelled`: rounds of drawn candidates, their reduction, Lloyd's passes."""
+
+    def u(turn: int) -> str:
+        place = "round(lat * 1e6)::BIGINT || ',' || round(lon * 1e6)::BIGINT"
+        return f"(('0x' || substr(md5('{seed}:{turn}:' || {place}), 1, 8))::BIGINT::DOUBLE / 4294967296)"
+
+    steps = [f"cand0 AS (SELECT lat, lon, 0 AS turn FROM places ORDER BY {u(0)}, lat, lon LIMIT 1)"]
+    for r in range(1, rounds + 1):
+        steps += [
+            f"""cost{r} AS (
+  SELECT p.lat, p.lon, p.w * min({_square("p", "c")}) AS cost FROM places p, cand{r - 1} c GROUP BY p.lat, p.lon, p.w
+)""",
+            f"""cand{r} AS (
+  SELECT * FROM cand{r - 1} UNION ALL
+  SELECT lat, lon, {r} FROM cost{r} WHERE {u(r)} * (SELECT sum(cost) FROM cost{r}) < cost * {2 * k}
+)""",
+        ]
+    steps += [
+        f"""owned AS (
+  SELECT c.lat, c.lon, p.w FROM places p, cand{rounds} c
+  QUALIFY row_number() OVER (PARTITION BY p.lat, p.lon ORDER BY sqrt({_square("p", "c")}), c.turn, c.lat, c.lon) = 1
+)""",
+        "heavy AS (SELECT lat, lon, sum(w) AS w FROM owned GROUP BY lat, lon)",
+        "start1 AS (SELECT lat, lon, 1 AS k FROM heavy ORDER BY w DESC, lat, lon LIMIT 1)",
+    ]
+    for i in range(2, k + 1):
+        steps.append(f"""start{i} AS (
+  SELECT * FROM start{i - 1} UNION ALL
+  (SELECT h.lat, h.lon, {i} FROM heavy h, start{i - 1} s GROUP BY h.lat, h.lon, h.w
+   ORDER BY h.w * min({_square("h", "s")}) DESC, h.lat, h.lon LIMIT 1)
+)""")
+    passes, _ = lloyd_passes(_start_row(f"start{k}", k), k)
+    lats, lons = (", ".join(f"{ax}{i}" for i in range(k)) for ax in "ab")
+    return f"""{POINTS},
+places AS (SELECT lat, lon, count(*)::DOUBLE AS w FROM points GROUP BY lat, lon),
+{",".join(steps)},
+{passes},
+sorted AS (
+  SELECT lat, lon, row_number() OVER (ORDER BY lat, lon) - 1 AS id
+  FROM (SELECT unnest([{lats}]) AS lat, unnest([{lons}]) AS lon FROM centres)
+),
+labels AS (
+  SELECT p.lat, p.lon, c.id FROM places p, sorted c
+  QUALIFY row_number() OVER (PARTITION BY p.lat, p.lon ORDER BY sqrt({_square("p", "c")}), c.id) = 1
+),
+labelled AS (
+  SELECT points.*, labels.id::INTEGER AS prediction
+  FROM points JOIN labels ON points.lat = labels.lat AND points.lon = labels.lon
+)"""
+
+
+def nearest_from_table() -> str:
+    place = ", ".join(
+        f"({c} + {_double(q.CENTRE_PLACE)}) / {q.CENTRE_CELLS}::DOUBLE AS {n}" for c, n in (("x", "lat"), ("y", "lon"))
+    )
+    return with_(
+        f"""{POINTS},
+cells AS (
+  SELECT DISTINCT floor(lat * {q.CENTRE_CELLS})::BIGINT AS x, floor(lon * {q.CENTRE_CELLS})::BIGINT AS y FROM points
+),
+spots AS (SELECT ((x - 20000) * 10000 + y + 40000)::INTEGER AS id, {place} FROM cells),
+places AS (SELECT DISTINCT lat, lon FROM points),
+found AS (
+  SELECT p.lat, p.lon, s.id, sqrt({_square("p", "s")}) AS d FROM places p, spots s
+  QUALIFY row_number() OVER (PARTITION BY p.lat, p.lon ORDER BY d, s.id) = 1
+)""",
+        """
+SELECT violation_id, points.lat, points.lon, id AS prediction, round(d, 9) AS distance
+FROM points JOIN found ON points.lat = found.lat AND points.lon = found.lon""",
+    )
+
+
+def z_scores(table: str, column: str, by: str) -> str:
+    """Rows of a table with their z-score among the rows of one key."""
+    over = f"OVER (PARTITION BY {by})" if by else "OVER ()"
+    gap = f"({column} - avg({column}) {over}) / nullif(stddev_samp({column}) {over}, 0)"
+    return f"SELECT *, coalesce(round_even({gap} * 100, 0) / 100 + 0.0, 0.0)::DOUBLE AS z_score FROM {table}"
 
 
 def synthesize() -> str:
@@ -373,7 +491,7 @@ def colour(mapping: dict, default: str = "NULL") -> str:
 
 
 def statements() -> dict[str, str]:
-    """SQL per query name. K-means starts from random points and has no SQL twin."""
+    """SQL per query name."""
     hourly = with_(HOURLY, "SELECT * FROM hourly")
     matrix = with_(MATRIX, "SELECT * FROM matrix")
     matrix_text = ", ".join(f'"{c}"::VARCHAR AS "{c}"' for c in (
@@ -448,6 +566,75 @@ FROM ({corridors(15)})""",
         "centroid_table": with_(PROFILE, f"SELECT {titles} FROM centroids"),
         "lloyd_step": lloyd_step(),
         "lloyd_clusters": lloyd_clusters(),
+        "lloyd_sampled_centroids": lloyd_sampled_centroids(),
+        "kmeans_clusters": recursive(
+            kmeans(), "SELECT violation_id, lat, lon, prediction, violation_type FROM labelled"
+        ),
+        "kmeans_centroids": recursive(profile_of(kmeans()), "SELECT * FROM centroids"),
+        "feature_vectors": with_(POINTS, "SELECT violation_id, lat AS f0, lon AS f1 FROM points"),
+        "nearest_from_table": nearest_from_table(),
+        "incident_fraction": with_(
+            LABELLED,
+            f"""SELECT violation_id, lat, lon, prediction, violation_type FROM labelled
+WHERE ('0x' || substr(md5(violation_id), 1, 8))::BIGINT < {int(q.SAMPLE_FRACTION * 2**32)}""",
+        ),
+        "incident_sample_per_cluster": with_(
+            LABELLED,
+            f"""SELECT violation_id, lat, lon, prediction, violation_type FROM labelled QUALIFY
+row_number() OVER (PARTITION BY prediction ORDER BY md5(violation_id), violation_id, lat, lon)
+  <= {q.SAMPLE_PER_CLUSTER}""",
+        ),
+        "cluster_colours_from_table": with_(
+            f"""{LABELLED},
+colours(cluster, hex) AS (VALUES {", ".join(f"({k}, '{v}')" for k, v in list(C.CLUSTER_HEX.items())[:-1])})""",
+            f"""SELECT violation_id, prediction, coalesce(hex, '{C.DEFAULT_HEX}') AS hex
+FROM labelled LEFT JOIN colours ON prediction = cluster""",
+        ),
+        "severity_from_table": with_(
+            f"""{CLEAN},
+weights(kind, points) AS (VALUES {", ".join(f"('{k}', {v})" for k, v in C.SEVERITY_WEIGHTS.items())})""",
+            f"""SELECT violation_id, violation_type, coalesce(points, {C.DEFAULT_SEVERITY})::INTEGER AS severity_score
+FROM clean LEFT JOIN weights ON trim(violation_type) = kind""",
+        ),
+        "place_profile_lookup": with_(
+            SCORED,
+            """SELECT violation_id, location, (count(*) OVER (PARTITION BY location))::BIGINT AS total_violations,
+  (sum(severity) OVER (PARTITION BY location))::BIGINT AS total_risk_score FROM scored""",
+        ),
+        "type_hour_z_scores": with_(
+            f"""{SCORED},
+counts AS (SELECT "Hour", violation_type, count(*)::BIGINT AS n FROM scored
+           WHERE violation_type IS NOT NULL GROUP BY ALL)""",
+            z_scores("counts", "n", "violation_type"),
+        ),
+        "place_type_z_scores": with_(
+            f"""{CLEAN},
+counts AS (SELECT location, violation_type, count(*)::BIGINT AS n FROM clean
+           WHERE violation_type IS NOT NULL GROUP BY ALL)""",
+            z_scores("counts", "n", "location"),
+        ),
+        "place_z_scores": with_(PLACES, z_scores("places", '"count"', "")),
+        "completed_time_type": with_(
+            f"""{TIME_TYPE},
+kinds AS (SELECT DISTINCT "Violation_Type" AS kind FROM raw WHERE "Violation_Type" IS NOT NULL)""",
+            f"""
+SELECT d AS "DayOfWeek", h::INTEGER AS "Hour", kind AS "Violation_Type", coalesce("count", 0)::BIGINT AS "count"
+FROM kinds CROSS JOIN (VALUES {days}) AS spine(d) CROSS JOIN range(24) AS hours(h)
+LEFT JOIN (SELECT * FROM time_type WHERE "DayOfWeek" IN {_in(q.CHOSEN_DAYS)})
+  ON h = "Hour" AND d = "DayOfWeek" AND kind = "Violation_Type"
+""",
+        ),
+        "bundle_fallback": matrix,
+        "underscore_header_scan": with_(RAW, "SELECT * FROM raw"),
+        "ensured_timestamps": with_(
+            RAW,
+            """SELECT "Violation_Id", try_strptime("Timestamp", '%Y-%m-%d %H:%M:%S')::TIMESTAMP AS timestamp_parsed
+FROM raw""",
+        ),
+        "hourly_view": hourly,
+        "kpi_labels": f"""
+SELECT format('{{:,}}', total_violations) AS total_violations, format('{{:,}}', risk_points) AS risk_points
+FROM ({kpis("true")})""",
         "incident_sample": with_(
             LABELLED,
             f"""SELECT violation_id, lat, lon, prediction, violation_type FROM labelled

@@ -12,17 +12,20 @@ import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incident_engine import constants as C
-from incident_engine.functions import timeparts
+from incident_engine.functions import geo, text, timeparts
 from incident_engine.operators import (
     cleaning,
     clustering,
     common,
     filters,
     locations,
+    lookups,
+    nearest,
     risk,
     spatial,
     temporal,
@@ -44,6 +47,10 @@ CHOSEN_TYPES = ("DUI", "Speeding", "Red Light Violation")
 CHOSEN_DAYS = ("Monday", "Friday", "Sunday")
 SEARCH = "40.75"
 STREAM_DELAY_HOURS = 1
+SAMPLE_FRACTION = 0.05
+SAMPLE_PER_CLUSTER = 40
+#: Cells per degree of the centre table, and where in its cell a centre lies.
+CENTRE_CELLS, CENTRE_PLACE = 500, 0.3
 
 
 # ---- shared inputs ---------------------------------------------------------------------------
@@ -108,9 +115,127 @@ def over(source: Query, operator: Callable[..., DataFrame], *args, **kwargs) ->
     return lambda spark, sf_dir: operator(source(spark, sf_dir), *args, **kwargs)
 
 
+def centre_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A centre in each small cell that holds incidents, numbered by its cell."""
+    cells = points(spark, sf_dir).select(
+        *(geo.grid_index(F.col(c), CENTRE_CELLS).alias(x) for c, x in (("lat", "x"), ("lon", "y")))
+    )
+    place = [((F.col(c) + F.lit(CENTRE_PLACE)) / F.lit(float(CENTRE_CELLS))) for c in ("x", "y")]
+    number = ((F.col("x") - 20_000) * 10_000 + F.col("y") + 40_000).cast("int")
+    return cells.distinct().select(
+        number.alias("cluster_id"), place[0].alias("center_lat"), place[1].alias("center_lon")
+    )
+
+
+def severity_table(spark: SparkSession) -> DataFrame:
+    """Severity points per type as a dimension table."""
+    return spark.createDataFrame(list(C.SEVERITY_WEIGHTS.items()), "kind string, points int")
+
+
 # ---- queries that need more than one operator ------------------------------------------------
 
 
+def nearest_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest of a table of centres for every incident."""
+    found = nearest.nearest_in_table(points(spark, sf_dir), centre_table(spark, sf_dir))
+    return found.select("violation_id", "lat", "lon", "prediction", F.round("distance", 9).alias("distance"))
+
+
+def severity_from_table(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """Severity of every incident, looked up by its trimmed type in a table."""
+    keys = {"kind": text.strip(F.col("violation_type"))}
+    found = lookups.lookup_table(
+        incidents(spark, sf_dir), severity_table(spark), keys, {"points": C.DEFAULT_SEVERITY}, **options
+    )
+    return found.select("violation_id", "violation_type", F.col("points").alias("severity_score"))
+
+
+def place_profile_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every incident with the total and risk of its place: a dimension that is as large as there are places."""
+    rows = incidents(spark, sf_dir)
+    totals = risk.location_totals(rows).select("location", "total_violations", "total_risk_score")
+    found = lookups.lookup_table(
+        rows.select("violation_id", F.col("location").alias("place")),
+        totals,
+        {"location": F.col("place")},
+        {"total_violations": 0, "total_risk_score": 0},
+        broadcast_bytes=0,
+    )
+    return found.select("violation_id", F.col("place").alias("location"), "total_violations", "total_risk_score")
+
+
+def cluster_colours_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every clustered incident with the colour of its cluster from a table that lacks the last cluster."""
+    colours = spark.createDataFrame(list(C.CLUSTER_HEX.items())[:-1], "cluster int, hex string")
+    found = lookups.lookup_table(
+        clustering.cluster_rows(labelled(spark, sf_dir)), colours, {"cluster": F.col("prediction")}, {"hex": C.DEFAULT_HEX}
+    )
+    return found.select("violation_id", "prediction", "hex")
+
+
+def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature vector of every incident, its two entries as columns."""
+    return clustering.feature_vectors(points(spark, sf_dir)).select(
+        "violation_id", *(F.get(vector_to_array("features"), F.lit(i)).alias(f"f{i}") for i in range(2))
+    )
+
+
+def type_hour_z_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Volume of each type in each hour against the type's other hours."""
+    counts = risk.hour_type_counts(incidents(spark, sf_dir)).where(F.col("violation_type").isNotNull())
+    return risk.z_scores(counts, "n", ["violation_type"])
+
+
+def place_type_z_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Volume of each type at each place against the place's other types."""
+    counts = incidents(spark, sf_dir).groupBy("location", "violation_type").agg(F.count(F.lit(1)).alias("n"))
+    return risk.z_scores(counts.where(F.col("violation_type").isNotNull()), "n", ["location"])
+
+
+def place_z_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Volume of each place against all places."""
+    return risk.z_scores(place_counts(spark, sf_dir), "count")
+
+
+def completed_time_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day x hour x type counts with a row for every combination, 0 where there are none."""
+    table = filters.by_type_and_day(time_type(spark, sf_dir), None, CHOSEN_DAYS)
+    kinds = raw(spark, sf_dir).select("Violation_Type").where(F.col("Violation_Type").isNotNull()).distinct()
+    domain = common.product(kinds, {"DayOfWeek": C.DAY_ORDER, "Hour": range(24)})
+    return common.complete(table, domain, {"count": 0})
+
+
+def bundle_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result that has no rows of its own, taken from a stored bundle of results."""
+    path = scratch_path(spark, "bundle")
+    matrix = risk.time_type_matrix(incidents(spark, sf_dir))
+    top = locations.top_locations(place_counts(spark, sf_dir))
+    sinks.write_bundle(path, {"time_type_matrix": matrix, "top_locations": top})
+    schemas = {"time_type_matrix": C.TIME_TYPE_MATRIX_SCHEMA, "top_locations": C.LOCATION_COUNT_SCHEMA, "none": "x int"}
+    members = files.read_bundle_members(spark, path, schemas)
+    return common.coalesce_frames(matrix.where("false"), members["time_type_matrix"])
+
+
+def underscore_header_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows under headers with blanks, scanned back with underscores for them."""
+    path = scratch_path(spark, "blank_headers_csv")
+    rows = raw(spark, sf_dir)
+    sinks.write_csv(rows.toDF(*(f" {c.replace('_', ' ')} " for c in rows.columns)), path)
+    return files.read_incidents_csv(spark, path, underscore=True)
+
+
+def ensured_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents whose timestamps are still text, parsed where they are needed."""
+    rows = raw(spark, sf_dir).select("Violation_Id", F.col("Timestamp").alias("timestamp"))
+    return cleaning.ensure_timestamp(rows).select("Violation_Id", "timestamp_parsed")
+
+
+def kpi_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key figures as shown, with commas between thousands."""
+    figures = kpis(spark, sf_dir)
+    return figures.select(*(text.thousands(F.col(c)).alias(c) for c in ("total_violations", "risk_points")))
+
+
 def severity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk.with_severity(incidents(spark, sf_dir)).select(
         "violation_id", "violation_type", "severity_score"
@@ -286,6 +411,9 @@ QUERIES: dict[str, Query] = {
     "parquet_scan_clean": parquet_scan_clean,
     "result_csv_scan": result_csv_scan,
     "result_rows_scan": result_rows_scan,
+    "bundle_fallback": bundle_fallback,
+    "underscore_header_scan": underscore_header_scan,
+    "ensured_timestamps": ensured_timestamps,
     "synthesize": synthesize,
     # time
     "count_by_hour": over(incidents, temporal.count_by, "hour_of_day"),
@@ -321,8 +449,18 @@ QUERIES: dict[str, Query] = {
     "map_points": map_points,
     "map_hexagons": over(labelled, views.map_view, "hexagons"),
     "map_center": over(labelled, clustering.map_centre),
+    "nearest_from_table": nearest_from_table,
+    "feature_vectors": feature_vectors,
+    "incident_fraction": over(labelled, clustering.incident_fraction, SAMPLE_FRACTION),
+    "incident_sample_per_cluster": over(labelled, clustering.incident_sample_per_cluster, SAMPLE_PER_CLUSTER),
+    "cluster_colours_from_table": cluster_colours_from_table,
     # risk
     "severity_lookup": severity_lookup,
+    "severity_from_table": severity_from_table,
+    "place_profile_lookup": place_profile_lookup,
+    "type_hour_z_scores": type_hour_z_scores,
+    "place_type_z_scores": place_type_z_scores,
+    "place_z_scores": place_z_scores,
     "hourly_risk_anomaly": hourly_risk,
     "hourly_volume_stats": volume_stats,
     "primary_violation_per_hour": over(incidents, risk.primary_violation_per_hour),
@@ -338,6 +476,9 @@ QUERIES: dict[str, Query] = {
     "single_choice_time_type": over(time_type, filters.by_type_and_day, "DUI", "Friday"),
     "kpis": kpis,
     "kpis_filtered": partial(kpis, types=CHOSEN_TYPES, days=CHOSEN_DAYS),
+    "kpi_labels": kpi_labels,
+    "hourly_view": over(hourly_risk, views.hourly),
+    "completed_time_type": completed_time_type,
     "hourly_curve": over(time_type, views.hourly_curve, CHOSEN_TYPES, CHOSEN_DAYS),
     "daily_distribution": over(time_type, views.daily_distribution, CHOSEN_TYPES, CHOSEN_DAYS),
     "daily_totals": over(time_type, views.daily_totals, "DUI"),

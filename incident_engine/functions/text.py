@@ -44,6 +44,11 @@ def signed_two_decimals(value: Column) -> Column:
     return F.concat(F.when(value > 0, "+").otherwise(""), F.format_string("%.2f", value))
 
 
+def thousands(number: Column, digits: int = 0) -> Column:
+    """``1234567`` -> ``1,234,567``; commas between thousands and ``digits`` decimals."""
+    return F.format_number(number, digits)
+
+
 def first_present(*cols: Column, default: str | None = None) -> Column:
     """First value that is neither null nor empty (C4)."""
     candidates = [F.nullif(c.cast("string"), F.lit("")) for c in cols]

@@ -2,7 +2,9 @@
 
 Both algorithms run on distinct coordinates with a weight instead of single incidents. The
 objective is the same, a coordinate that holds a third of all incidents is one row, and every
-iteration reads the compact table only. The driver holds nothing but the k centres.
+iteration reads the compact table only. The driver holds nothing but the k centres and, while
+k-means starts, the few times k candidates. All draws are hashes of a seed and the place, so results
+depend neither on file layout nor on the number of tasks.
 """
 
 from __future__ import annotations
@@ -10,9 +12,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from incident_engine import constants as C
@@ -21,9 +22,9 @@ from incident_engine.operators.common import incidents, largest, short_sorted, t
 from incident_engine.scratch import cut_lineage
 
 Centres = Sequence[Sequence[float]]
-#: Partitions of the compact table that k-means reads: fixed, as its random start depends on them. A large
-#: cluster passes more, the same for every run that should give the same centres.
-SPREAD = 32
+Places = list[tuple[float, float]]
+#: Rounds of candidates for the start of k-means, and candidates expected of a round, times k.
+ROUNDS, OVERSAMPLING = 3, 2
 
 
 def weighted_points(points: DataFrame, weight: str | None = None) -> DataFrame:
@@ -41,36 +42,86 @@ def assign_nearest(points: DataFrame, centres: Centres) -> DataFrame:
     return points.withColumn("prediction", geo.nearest_centre(F.col("lat"), F.col("lon"), centres))
 
 
+def feature_vectors(points: DataFrame, columns: Sequence[str] = ("lat", "lon")) -> DataFrame:
+    """Add ``features``: numeric columns as one vector, for Spark's own learners (H3)."""
+    return VectorAssembler(inputCols=list(columns), outputCol="features").transform(points)
+
+
+def draw(seed: int, turn: int) -> Column:
+    """A number in [0, 1) for each place: 32 bits of a hash of seed, turn and place in millionths of a degree."""
+    place = [F.round(F.col(c) * 1e6).cast("bigint").cast("string") for c in ("lat", "lon")]
+    text = F.md5(F.concat(F.lit(f"{seed}:{turn}:"), place[0], F.lit(","), place[1]))
+    return F.conv(F.substring(text, 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
+
+
+def _squared(centres: Centres) -> Column:
+    """Squared distance to the nearest of some centres."""
+    gaps = [(F.col("lat") - F.lit(a), F.col("lon") - F.lit(b)) for a, b in centres]
+    return F.array_min(F.array(*(x * x + y * y for x, y in gaps)))
+
+
+def _spread_out(candidates: Sequence[tuple[float, float, float]], k: int) -> Places:
+    """``k`` of the (lat, lon, weight): the heaviest, then those of most weight times squared distance."""
+    left = {(a, b): (w, float("inf")) for a, b, w in candidates}
+    chosen: Places = []
+    while left and len(chosen) < k:
+        best = min(left, key=lambda c: (-left[c][0] * (left[c][1] if chosen else 1.0), c))
+        chosen.append(best)
+        del left[best]
+        for c, (w, d) in left.items():
+            x, y = c[0] - best[0], c[1] - best[1]
+            left[c] = w, min(d, x * x + y * y)
+    return chosen
+
+
+def kmeans_start(compact: DataFrame, k: int, seed: int = 42, rounds: int = ROUNDS) -> Places:
+    """Start centres by k-means||: few rounds of candidates, weighted and reduced to ``k`` (H4).
+
+    ``compact`` holds distinct places with a ``weight``. The first candidate has the least draw. A round
+    takes each place with a probability of its share in the cost (weight times squared distance to the
+    nearest candidate) times twice ``k``, by a hash draw of its own, so it finds about 2 ``k`` places,
+    far ones first. Each candidate then gets the weight of all places nearest to it.
+    """
+    row = compact.orderBy(draw(seed, 0), "lat", "lon").select("lat", "lon").first()
+    found: Places = [(row["lat"], row["lon"])]
+    turn = 0
+    while turn < rounds or len(found) < k:
+        turn += 1
+        cost = F.col("weight") * _squared(found)
+        total_cost = compact.agg(F.sum(cost)).scalar()
+        taken = compact.where(draw(seed, turn) * total_cost < cost * F.lit(float(OVERSAMPLING * k)))
+        new = taken.select("lat", "lon").collect()
+        if not new and turn > rounds:  # too few by chance: the places of most cost fill up
+            new = compact.where(cost > 0).orderBy(cost.desc(), "lat", "lon").select("lat", "lon").take(k)
+            if not new:
+                break
+        found += sorted((r["lat"], r["lon"]) for r in new)
+    shares = assign_nearest(compact, found).groupBy("prediction").agg(F.sum("weight").alias("weight"))
+    weights = {r["prediction"]: r["weight"] for r in shares.collect()}
+    return _spread_out([(*c, weights.get(i, 0.0)) for i, c in enumerate(found)], k)
+
+
 def kmeans_centres(
     points: DataFrame,
     k: int = 5,
     seed: int = 42,
-    max_iter: int = 20,
-    tol: float = 1e-4,
+    max_iter: int = 100,
     weight: str | None = None,
-    partitions: int = SPREAD,
-) -> list[tuple[float, float]]:
-    """Centres found by distributed k-means, ordered by latitude and longitude (H3, H4).
-
-    The random start depends on how rows are spread and ordered, so both are fixed first: the
-    same points give the same centres however the input was split and the session configured.
-    With at most ``k`` distinct places, these are the centres; no more than ``k + 1`` of them
-    reach the driver to tell. The compact table is kept while fitting, as the start alone reads
-    it several times.
+    rounds: int = ROUNDS,
+) -> Places:
+    """Centres found by distributed k-means, ordered by latitude and longitude (H4).
+
+    A k-means|| start of hash draws, then Lloyd's iterations until the centres settle. With at most ``k``
+    distinct places, these are the centres; no more than ``k + 1`` of them reach the driver to tell.
     """
-    compact = weighted_points(points, weight)
-    spread = compact.repartition(partitions, "lat", "lon").sortWithinPartitions("lat", "lon").persist()
+    compact = cut_lineage(weighted_points(points, weight)).persist()
     try:
-        places = [(float(r["lat"]), float(r["lon"])) for r in spread.select("lat", "lon").take(k + 1)]
+        places = [(float(r["lat"]), float(r["lon"])) for r in compact.select("lat", "lon").take(k + 1)]
         if len(places) <= k:
             return sorted(places)
-        vectors = VectorAssembler(inputCols=["lat", "lon"], outputCol="features").transform(spread)
-        model = KMeans(
-            k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", weightCol="weight"
-        ).fit(vectors)
-        return sorted((float(c[0]), float(c[1])) for c in model.clusterCenters())
+        return sorted(_iterate(compact, kmeans_start(compact, k, seed, rounds), max_iter).centres)
     finally:
-        spread.unpersist()
+        compact.unpersist()
 
 
 def cluster_hotspots(
@@ -145,6 +196,22 @@ def _settled(old: Centres, new: Centres, rtol: float, atol: float) -> bool:
     )
 
 
+def _iterate(
+    compact: DataFrame, init: Centres, max_iter: int, rtol: float = 1e-5, atol: float = 1e-5
+) -> LloydResult:
+    """Lloyd's iterations over a compact table with ``weight``."""
+    current = [(float(a), float(b)) for a, b in init]
+    used, passes, settled = current, 0, False
+    while passes < max_iter and not settled:
+        used, passes = current, passes + 1
+        rows = lloyd_step(compact, used, weight="weight").collect()
+        current = [
+            (r["center_lat"], r["center_lon"]) for r in sorted(rows, key=lambda r: r["cluster_id"])
+        ]
+        settled = _settled(used, current, rtol, atol)
+    return LloydResult(used, passes, settled)
+
+
 def lloyd(
     points: DataFrame,
     init: Centres,
@@ -160,17 +227,7 @@ def lloyd(
     """
     compact = cut_lineage(weighted_points(points, weight)).persist()
     try:
-        current = [(float(a), float(b)) for a, b in init]
-        used, passes, settled = current, 0, False
-        while passes < max_iter and not settled:
-            used, passes = current, passes + 1
-            rows = lloyd_step(compact, used, weight="weight").collect()
-            current = [
-                (r["center_lat"], r["center_lon"])
-                for r in sorted(rows, key=lambda r: r["cluster_id"])
-            ]
-            settled = _settled(used, current, rtol, atol)
-        return LloydResult(used, passes, settled)
+        return _iterate(compact, init, max_iter, rtol, atol)
     finally:
         compact.unpersist()
 
@@ -227,8 +284,31 @@ def map_centre(labelled: DataFrame, weight: str | None = None) -> DataFrame:
 
 def incident_sample(labelled: DataFrame, n: int = 250) -> DataFrame:
     """``n`` labelled incidents drawn by a hash of their id, the same on any layout."""
-    return (
-        cluster_rows(labelled)
-        .orderBy(F.md5(F.col("violation_id")), "violation_id", "lat", "lon")
-        .limit(n)
-    )
+    return cluster_rows(labelled).orderBy(*_sample_order()).limit(n)
+
+
+def _sample_order() -> list[Column]:
+    return [F.md5(F.col("violation_id")), *map(F.col, ("violation_id", "lat", "lon"))]
+
+
+def incident_fraction(labelled: DataFrame, fraction: float) -> DataFrame:
+    """About this fraction of the labelled incidents: those whose id hashes below a threshold.
+
+    A projection and a filter: no sort and no shuffle. A smaller fraction is a part of a larger one, and
+    an incident is in or out whatever other rows there are.
+    """
+    if not 0.0 <= fraction <= 1.0:
+        raise ValueError(f"fraction {fraction} is not between 0 and 1")
+    drawn = F.conv(F.substring(F.md5(F.col("violation_id")), 1, 8), 16, 10).cast("bigint")
+    return cluster_rows(labelled).where(drawn < F.lit(int(fraction * 2**32)).cast("bigint"))
+
+
+def incident_sample_per_cluster(labelled: DataFrame, n: int = 50) -> DataFrame:
+    """Exactly ``n`` incidents of each cluster (all, if it has fewer), drawn by a hash of their id.
+
+    The least ``n`` hashes of a cluster are found per task first (window group limit), so a cluster that
+    holds most incidents sends ``n`` rows a task to the shuffle.
+    """
+    place = F.row_number().over(Window.partitionBy("prediction").orderBy(*_sample_order()))
+    rows = cluster_rows(labelled)
+    return rows.withColumn("place", place).where(F.col("place") <= n).select(*rows.columns)

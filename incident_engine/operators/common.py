@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,5 +121,64 @@ def union_all(*frames: DataFrame) -> DataFrame:
 
 
 def coalesce_frames(primary: DataFrame, fallback: DataFrame) -> DataFrame:
-    """``primary`` unless it is empty, else ``fallback``."""
-    return fallback if primary.isEmpty() else primary
+    """``primary`` unless it is empty, else ``fallback``.
+
+    One lazy plan: whether there is a first row is a scalar subquery that the rows of the fallback are
+    filtered by. Both frames have the same columns.
+    """
+    is_empty = primary.limit(1).agg(F.count(F.lit(1)) == 0).scalar()
+    return primary.unionByName(fallback.where(is_empty))
+
+
+def product(df: DataFrame, domains: Mapping[str, Sequence[Any]]) -> DataFrame:
+    """Each row of ``df`` with every combination of the values of further columns, which are literals."""
+    for name, domain in domains.items():
+        df = df.withColumn(name, F.explode(F.array(*map(F.lit, domain))))
+    return df
+
+
+def complete(df: DataFrame, domain: DataFrame, fill: Mapping[str, Any]) -> DataFrame:
+    """A row for every key of a domain: those of ``df``, and filled ones for the missing keys.
+
+    The columns of ``domain`` are the keys; it may hold a key more than once, and keys with a null are
+    left out. Rows of ``df`` whose key is not in the domain are dropped, all others stay as they are.
+    ``fill`` gives the values of further columns for missing keys; a column without one is null there.
+    """
+    keys = domain.columns
+    spine = domain.na.drop().distinct()
+    missing = spine.join(df.select(*keys), keys, "left_anti")
+    filled = missing.select(
+        *(
+            F.col(f.name) if f.name in keys else F.lit(fill.get(f.name)).cast(f.dataType).alias(f.name)
+            for f in df.schema
+        )
+    )
+    return df.join(spine, keys, "left_semi").select(*df.columns).unionByName(filled)
+
+
+def ranks_of(rows: DataFrame, table: DataFrame, n: int, by: str, *ties: str, name: str = "rank") -> DataFrame:
+    """At most ``n`` rows of ``table`` with their ranks in it, from 1 (W3): ``by`` and ``ties`` order it fully.
+
+    ``table`` is neither sorted nor numbered: one aggregation counts, for each of the few rows, those that
+    come before it, and tasks send ``n`` counts each. The rows, which become literals of it, are read first;
+    the result keeps their order.
+    """
+    few = rows.limit(n).collect()
+
+    def before(row: Row) -> Column:
+        ahead, level = F.col(by) > F.lit(row[by]), F.col(by) == F.lit(row[by])
+        for tie in ties:
+            ahead |= level & (F.col(tie) < F.lit(row[tie]))
+            level &= F.col(tie) == F.lit(row[tie])
+        return F.count_if(ahead) + 1
+
+    found = T.StructType([*rows.schema.fields, T.StructField(name, T.LongType())])
+    if not few:
+        return table.sparkSession.createDataFrame([], found)
+    fields = [f.name for f in rows.schema]
+    counted = table.agg(*(before(row).alias(f"n{i}") for i, row in enumerate(few)))
+    structs = (
+        F.struct(*(F.lit(row[c]).cast(rows.schema[c].dataType).alias(c) for c in fields), F.col(f"n{i}").alias(name))
+        for i, row in enumerate(few)
+    )
+    return counted.select(F.inline(F.array(*structs)))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from incident_engine import constants as C
 from incident_engine.functions import scoring
 from incident_engine.operators.common import descending_then, incidents, largest, top_k, total
+from incident_engine.operators.lookups import lookup_table
+from incident_engine.scratch import cut_lineage
 
 
 def with_severity(df: DataFrame, column: str = "violation_type") -> DataFrame:
@@ -60,6 +64,33 @@ def with_z_score(groups: DataFrame, column: str = "violation_count") -> DataFram
     return groups.withColumn("z_score", F.coalesce(z, F.lit(0.0)))
 
 
+def group_stats(groups: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
+    """Number, mean and sample deviation of ``column`` per key (A12); partial moments are merged."""
+    return groups.groupBy(*by).agg(
+        F.count(column).alias("n_values"), F.avg(column).alias("mean_value"), F.stddev_samp(column).alias("std_value")
+    )
+
+
+def z_scores(groups: DataFrame, column: str, by: Sequence[str] = (), name: str = "z_score") -> DataFrame:
+    """Add the rounded z-score of ``column``, among all rows or among those of the same key.
+
+    Moments per key are aggregated and looked up again by the key, so no group of rows meets in one task,
+    and a key that most rows have is no more work than others. One row, equal values, a null value or a
+    null key give 0.0. The input, which is read twice, is stored once.
+    """
+    groups = cut_lineage(groups)
+    stats = group_stats(groups, column, by)
+    names = {c: f"__{c}" for c in ("mean_value", "std_value")}
+    if by:
+        stats = stats.select(*by, *(F.col(c).alias(n) for c, n in names.items()))
+        known = lookup_table(groups, cut_lineage(stats), {k: F.col(k) for k in by}, dict.fromkeys(names.values()))
+    else:
+        known = groups.withColumns({n: stats.select(c).scalar() for c, n in names.items()})
+    mean, std = (F.col(n) for n in names.values())
+    z = scoring.round_half_even((F.col(column) - mean) / F.when(std > 0, std), 2)
+    return known.select(*groups.columns, F.coalesce(z, F.lit(0.0)).alias(name))
+
+
 def hourly_risk_from_counts(counts: DataFrame) -> DataFrame:
     """Hourly risk and anomaly table from :func:`hour_type_counts`.
 

@@ -6,6 +6,7 @@ location counts, centroids), not the incidents.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,8 @@ from incident_engine.operators import clustering, common, filters, locations, sp
 
 Selection = Collection[str] | str | None
 NOT_AVAILABLE = "N/A"
+#: Queries that can match in the rank of a row, or across a column's end.
+RANK_PART = re.compile(r"^#?[0-9]*$|\t")
 
 
 def hourly(hourly_risk: DataFrame) -> DataFrame:
@@ -162,10 +165,14 @@ def corridor_table(location_counts: DataFrame, query: str = "", n: int = 10) ->
     """Top locations with rank, density share and position.
 
     With a ``query`` the first ``n`` rows of the whole table whose rank, place or count contain it,
-    under their ranks in the whole table.
+    under their ranks in the whole table. Unless the query may be part of a rank itself (digits, with or
+    without ``#``) or of the gap after one, the rows are found first and only they are ranked.
     """
     keys = ("count", "Location")
-    if query:
+    if query and not RANK_PART.search(query):
+        found = filters.search_rows(location_counts, query, "Location", "count")
+        top = common.ranks_of(locations.top_locations(found, n), location_counts, n, *keys)
+    elif query:
         rows = common.ranked_all(location_counts, *keys)
         rows = rows.withColumn("rank_label", F.concat(F.lit("#"), F.col("rank").cast("string")))
         found = filters.search_rows(rows, query, "rank_label", "Location", "count")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from incident_engine.constants import NA_TOKENS
 from incident_engine.functions.text import null_if_na
 from incident_engine.operators.cleaning import trim_headers, underscore_headers
+from incident_engine.scratch import cut_lineage
 
 
 def read_incidents_csv(
@@ -83,16 +84,18 @@ def read_result_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], text)
 
 
-def read_bundle(spark: SparkSession, path: str, member: str, schema: str) -> DataFrame:
-    """One table of a JSON bundle: an object whose members are arrays of rows.
+def read_bundle_members(spark: SparkSession, path: str, members: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Tables of a JSON bundle by member name (S8, G1): an object whose members are arrays of rows.
 
-    A member that is missing gives no rows.
+    ``members`` gives the schema of each. The file, one document of bounded size, is parsed once for all of
+    them and kept as one row of arrays. A member that is missing gives no rows.
     """
-    row = T.StructType.fromDDL(schema)
-    bundle = T.StructType([T.StructField(member, T.ArrayType(row))])
-    return (
-        spark.read.schema(bundle)
-        .option("multiLine", True)
-        .json(path)
-        .select(F.inline(F.col(f"`{member}`")))
-    )
+    rows = [T.StructField(m, T.ArrayType(T.StructType.fromDDL(s))) for m, s in members.items()]
+    bundle = spark.read.schema(T.StructType(rows)).option("multiLine", True).json(path)
+    parsed = bundle if len(members) == 1 else cut_lineage(bundle)
+    return {m: parsed.select(F.inline(F.col(f"`{m}`"))) for m in members}
+
+
+def read_bundle(spark: SparkSession, path: str, member: str, schema: str) -> DataFrame:
+    """One table of a JSON bundle (S8, G1); see :func:`read_bundle_members`."""
+    return read_bundle_members(spark, path, {member: schema})[member]

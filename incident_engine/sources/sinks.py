@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,3 +53,13 @@ def json_rows(df: DataFrame, as_text: bool = False) -> DataFrame:
 def write_json(df: DataFrame, path: str) -> None:
     """Directory of JSON lines (K4)."""
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def write_bundle(path: str, members: Mapping[str, DataFrame]) -> None:
+    """One JSON object whose members are the rows of short result tables."""
+    spark = next(iter(members.values())).sparkSession
+    columns = [
+        df.agg(F.collect_list(F.struct(*(F.col(f"`{c}`") for c in df.columns)))).scalar().alias(name)
+        for name, df in members.items()
+    ]
+    write_json(spark.range(0, 1, 1, 1).select(*columns), path)

@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import math
 import random
@@ -115,8 +116,8 @@ def test_kmeans_does_not_depend_on_the_input_layout(spark):
     points = [(draw.uniform(40, 41), draw.uniform(-74, -73)) for _ in range(400)]
     shuffled = points[:]
     draw.shuffle(shuffled)
-    one = clustering.kmeans_centres(point_frame(spark, points).coalesce(1), partitions=4)
-    many = clustering.kmeans_centres(point_frame(spark, shuffled).repartition(7), partitions=4)
+    one = clustering.kmeans_centres(point_frame(spark, points).coalesce(1))
+    many = clustering.kmeans_centres(point_frame(spark, shuffled).repartition(7))
     assert [tuple(map(lambda v: round(v, 9), c)) for c in one] == [
         tuple(map(lambda v: round(v, 9), c)) for c in many
     ]
@@ -126,8 +127,8 @@ def test_kmeans_weights_equal_repeated_rows(spark):
     points = two_clouds()[:20]
     repeated = point_frame(spark, [p for i, p in enumerate(points) for _ in range(i + 1)])
     folded = repeated.groupBy("lat", "lon").count()
-    a = clustering.kmeans_centres(repeated, k=3, partitions=2)
-    b = clustering.kmeans_centres(folded, k=3, weight="count", partitions=2)
+    a = clustering.kmeans_centres(repeated, k=3)
+    b = clustering.kmeans_centres(folded, k=3, weight="count")
     assert [round(v, 9) for c in a for v in c] == [round(v, 9) for c in b for v in c]
 
 
@@ -195,3 +196,99 @@ def test_hotspots_of_few_distinct_places(spark, places):
     found = labelled.groupBy("prediction").count().collect()
     assert sum(r["count"] for r in found) == 60
     assert len(found) == min(places, 5)
+
+
+def plain_kmeans_start(places, k, seed, rounds):
+    """k-means|| by definition over (lat, lon, weight)."""
+
+    def draw(turn, a, b):
+        text = f"{seed}:{turn}:{round(a * 1e6)},{round(b * 1e6)}"
+        return int(hashlib.md5(text.encode()).hexdigest()[:8], 16) / 2**32
+
+    def gap(p, centres):
+        return min((p[0] - c[0]) ** 2 + (p[1] - c[1]) ** 2 for c in centres)
+
+    found = [min(places, key=lambda p: (draw(0, *p[:2]), p))[:2]]
+    for turn in range(1, rounds + 1):
+        cost = {p: p[2] * gap(p, found) for p in places}
+        total = sum(cost.values())
+        found += sorted(p[:2] for p in places if draw(turn, *p[:2]) * total < cost[p] * 2 * k)
+    weights = [0.0] * len(found)
+    for p in places:
+        weights[min(range(len(found)), key=lambda i: (math.dist(p[:2], found[i]), i))] += p[2]
+    chosen = [min(zip(found, weights), key=lambda c: (-c[1], c[0]))[0]]
+    while len(chosen) < k:
+        left = [(c, w) for c, w in zip(found, weights) if c not in chosen]
+        chosen.append(min(left, key=lambda c: (-c[1] * gap(c[0], chosen), c[0]))[0])
+    return chosen
+
+
+@pytest.mark.parametrize("k,seed", [(2, 1), (5, 42), (9, 7)])
+def test_kmeans_start_equals_the_definition(spark, k, seed):
+    rnd = random.Random(seed)
+    places = [(round(rnd.gauss(40 + i % 4, 0.1), 4), round(rnd.gauss(-73 - i % 3, 0.1), 4), float(rnd.randint(1, 9))) for i in range(200)]
+    compact = spark.createDataFrame(places, "lat double, lon double, weight double")
+    assert clustering.kmeans_start(compact.repartition(5), k, seed) == plain_kmeans_start(places, k, seed, clustering.ROUNDS)
+
+
+def test_kmeans_start_fills_up_when_draws_find_too_few(spark):
+    places = [(0.0, 0.0, 1e9), (1.0, 0.0, 1e-9), (0.0, 2.0, 1e-9), (3.0, 3.0, 1e9)]
+    compact = spark.createDataFrame(places, "lat double, lon double, weight double")
+    assert sorted(clustering.kmeans_start(compact, 3)) in ([c[:2] for c in three] for three in itertools.combinations(sorted(places), 3))
+    same = spark.createDataFrame([(1.0, 1.0, 1.0), (1.0, 1.0 + 2e-200, 1.0)], "lat double, lon double, weight double")
+    assert clustering.kmeans_start(same, 5) == [(1.0, 1.0)]
+
+
+def test_kmeans_is_not_far_from_the_best_of_many_starts(spark):
+    rnd = random.Random(5)
+    points = [(rnd.gauss(a, 0.02), rnd.gauss(b, 0.02)) for a, b in C.HOTSPOTS for _ in range(60)]
+    centres = clustering.kmeans_centres(point_frame(spark, points))
+
+    def cost(cs):
+        return sum(min(math.dist(p, c) ** 2 for c in cs) for p in points)
+
+    best = min(cost(plain_lloyd_centres(points, rnd.sample(points, 5))) for _ in range(20))
+    assert cost(centres) <= 1.3 * best
+
+
+def plain_lloyd_centres(points, centres, passes=30):
+    for _ in range(passes):
+        groups = [[] for _ in centres]
+        for p in points:
+            groups[min(range(len(centres)), key=lambda i: math.dist(p, centres[i]))].append(p)
+        centres = [tuple(sum(v) / len(g) for v in zip(*g)) if g else c for g, c in zip(groups, centres)]
+    return centres
+
+
+def test_feature_vectors(spark):
+    df = clustering.feature_vectors(point_frame(spark, [(1.0, 2.0)]))
+    assert df.first()["features"].toArray().tolist() == [1.0, 2.0]
+
+
+# ---- samples ---------------------------------------------------------------------------------
+
+
+def test_fraction_sample(spark):
+    labelled = clustering.assign_nearest(point_frame(spark, two_clouds() * 20), C.HOTSPOTS)
+    ids = lambda f, df=labelled: {r[0] for r in values(clustering.incident_fraction(df, f), "violation_id")}
+    assert ids(0.0) == set() and len(ids(1.0)) == 2000
+    assert ids(0.1) < ids(0.3) and ids(0.3) == ids(0.3, labelled.repartition(7))
+    assert abs(len(ids(0.3)) - 600) < 90
+    plan = clustering.incident_fraction(labelled, 0.3)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    with pytest.raises(ValueError):
+        clustering.incident_fraction(labelled, 1.5)
+
+
+def test_sample_per_cluster_has_exact_sizes(spark):
+    sizes = {0: 500, 1: 3, 2: 40}
+    rows = [(f"V{c}-{i}", 1.0, 2.0, "x", c) for c, n in sizes.items() for i in range(n)]
+    schema = "violation_id string, lat double, lon double, violation_type string, prediction int"
+    labelled = spark.createDataFrame(rows, schema)
+    got = values(clustering.incident_sample_per_cluster(labelled.repartition(6), 40), "prediction", "violation_id")
+    for c, n in sizes.items():
+        names = sorted((f"V{c}-{i}" for i in range(n)), key=lambda v: (hashlib.md5(v.encode()).hexdigest(), v))
+        assert {v for p, v in got if p == c} == set(names[:40])
+    plan = clustering.incident_sample_per_cluster(labelled, 40)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2  # before and after the shuffle
+    assert clustering.incident_sample_per_cluster(labelled.where("false"), 4).count() == 0

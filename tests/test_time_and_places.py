@@ -118,8 +118,9 @@ def test_union_distinct_and_fallback(spark):
     both = common.union_all(a, b)
     assert sorted(values(both, "k", "v"), key=repr) == [("x", 1), ("y", 2), (None, 3)]
     assert values(common.distinct_values(common.union_all(both, a), "k"), "k") == [("x",), ("y",)]
-    assert common.coalesce_frames(a.limit(0), b) is b
-    assert common.coalesce_frames(a, b) is a
+    assert sorted(values(common.coalesce_frames(a.limit(0), b), "k", "v"), key=repr) == [("y", 2), (None, 3)]
+    assert values(common.coalesce_frames(a, b), "k", "v") == [("x", 1)]
+    assert common.coalesce_frames(a.limit(0), b.limit(0)).count() == 0
 
 
 def test_counts_conserve(spark):
