@@ -505,6 +505,14 @@ def statements() -> dict[str, str]:
     filtered = with_(TIME_TYPE, f"SELECT * FROM time_type WHERE {CHOSEN}")
     days = ", ".join(f"('{d}')" for d in C.DAY_ORDER)
     clean = with_(CLEAN, SELECT_CLEAN)
+    location_risk = with_(
+        SCORED,
+        f"""
+SELECT location, count(violation_id)::BIGINT AS total_violations,
+  sum(severity)::BIGINT AS total_risk_score, avg(severity)::DOUBLE AS avg_risk_score,
+  count(*) FILTER (severity >= {C.HIGH_SEVERITY})::BIGINT AS high_severity_count
+FROM scored GROUP BY location""",
+    )
     return {
         "raw_violations": with_(RAW, "SELECT * FROM raw"),
         "clean": clean,
@@ -673,14 +681,8 @@ ORDER BY total_risk_score DESC, "Hour" LIMIT 3""",
         "critical_hours": with_(
             HOURLY, f"""SELECT "Hour", z_score FROM hourly WHERE anomaly_level = '{C.CRITICAL}'"""
         ),
-        "location_risk": with_(
-            SCORED,
-            f"""
-SELECT location, count(violation_id)::BIGINT AS total_violations,
-  sum(severity)::BIGINT AS total_risk_score, avg(severity)::DOUBLE AS avg_risk_score,
-  count(*) FILTER (severity >= {C.HIGH_SEVERITY})::BIGINT AS high_severity_count
-FROM scored GROUP BY location""",
-        ),
+        "location_risk": location_risk,
+        "daily_location_risk": location_risk,
         "time_type_matrix": matrix,
         "intensity_matrix_wide": with_(
             MATRIX, f"SELECT violation_type, {wide} FROM matrix GROUP BY violation_type"

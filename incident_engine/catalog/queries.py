@@ -30,7 +30,7 @@ from incident_engine.operators import (
     spatial,
     temporal,
 )
-from incident_engine.plans import views
+from incident_engine.plans import daily, views
 from incident_engine.scratch import has_shared_dir, scratch_path
 from incident_engine.sources import files, sinks, synth
 from incident_engine.sources.adapters import violations_from_events
@@ -230,6 +230,19 @@ def ensured_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.ensure_timestamp(rows).select("Violation_Id", "timestamp_parsed")
 
 
+def daily_location_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Location risk after two daily runs: all days but the last at once, then the last."""
+    given = events(spark, sf_dir)
+    rows = violations_from_events(given, F.col("ts").cast("date").alias("day"))
+    *earlier, last = sorted(r["day"] for r in given.select(F.col("ts").cast("date").alias("day")).distinct().collect())
+    layout = daily.DailyLayout(scratch_path(spark, "daily"))
+    for days in (earlier, [last]):
+        if days:
+            daily.stage_days(rows, layout, days)
+    counts = daily.place_counts(spark, layout).where("n_accepted > 0")
+    return risk.rank_location_risk(risk.location_totals(counts, weight="n_accepted"))
+
+
 def kpi_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key figures as shown, with commas between thousands."""
     figures = kpis(spark, sf_dir)
@@ -477,6 +490,7 @@ QUERIES: dict[str, Query] = {
     "kpis": kpis,
     "kpis_filtered": partial(kpis, types=CHOSEN_TYPES, days=CHOSEN_DAYS),
     "kpi_labels": kpi_labels,
+    "daily_location_risk": daily_location_risk,
     "hourly_view": over(hourly_risk, views.hourly),
     "completed_time_type": completed_time_type,
     "hourly_curve": over(time_type, views.hourly_curve, CHOSEN_TYPES, CHOSEN_DAYS),

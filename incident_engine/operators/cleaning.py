@@ -23,14 +23,20 @@ def underscore_headers(df: DataFrame) -> DataFrame:
 
 
 def to_clean_columns(
-    raw: DataFrame, parse: Callable[[Column], Column] = parse_timestamp
+    raw: DataFrame,
+    parse: Callable[[Column], Column] = parse_timestamp,
+    extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Rename and parse into the four cleaned columns, keeping every row."""
+    """Rename and parse into the four cleaned columns, keeping every row.
+
+    ``extra`` columns go along.
+    """
     return raw.select(
         F.col("Violation_Id").cast("string").alias("violation_id"),
         parse(F.col("Timestamp")).alias("timestamp_parsed"),
         F.col("Violation_Type").alias("violation_type"),
         F.col("Location").alias("location"),
+        *extra,
     )
 
 
@@ -54,9 +60,9 @@ def clean(raw: DataFrame) -> DataFrame:
     return to_clean_columns(kept, cast_timestamp)
 
 
-def with_acceptance(raw: DataFrame) -> DataFrame:
+def with_acceptance(raw: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Every row in cleaned form, with ``accepted`` telling whether :func:`clean` keeps it."""
-    return to_clean_columns(raw).withColumn("accepted", is_complete())
+    return to_clean_columns(raw, extra=extra).withColumn("accepted", is_complete())
 
 
 def parsed_only(df: DataFrame, column: str = "timestamp_parsed") -> DataFrame:

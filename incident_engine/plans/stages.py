@@ -130,26 +130,34 @@ def write_location_results(totals: DataFrame, layout: Layout) -> None:
     )
 
 
-def write_hotspot_results(
-    staged: DataFrame, counts: DataFrame, totals: DataFrame, layout: Layout, k: int, seed: int
-) -> None:
-    """Grid counts, k-means labels and centroids of accepted rows."""
+def write_place_results(
+    counts: DataFrame, totals: DataFrame, layout: Layout, k: int, seed: int
+) -> clustering.Places:
+    """Grid counts and centroids of accepted rows, from counts per place; gives the centres."""
     places = spatial.extract_coordinates(totals.where("total_violations > 0"))
     sinks.write_csv(
         spatial.grid_counts(places, weight="total_violations"), layout.output("grid_counts_csv")
     )
-    rows = spatial.extract_coordinates(staged.where("accepted"))
-    if clustering.has_at_least(rows, k):
+    n = places.agg(F.coalesce(F.sum("total_violations"), F.lit(0))).first()[0]
+    if n >= k:
         centres = clustering.kmeans_centres(places, k, seed, weight="total_violations")
     else:
         centres = [(0.0, 0.0)]
-    labelled = clustering.assign_nearest(rows, centres)
-    sinks.write_csv(clustering.cluster_rows(labelled), layout.output("hotspot_clusters_csv"))
     typed_places = spatial.extract_coordinates(counts.where("n_accepted > 0"))
     profile = clustering.cluster_profile(
         clustering.assign_nearest(typed_places, centres), weight="n_accepted"
     )
     sinks.write_csv(profile, layout.output("cluster_centroids_csv"), ["cluster_id"])
+    return centres
+
+
+def write_hotspot_results(
+    staged: DataFrame, counts: DataFrame, totals: DataFrame, layout: Layout, k: int, seed: int
+) -> None:
+    """Grid counts, k-means labels and centroids of accepted rows."""
+    centres = write_place_results(counts, totals, layout, k, seed)
+    labelled = clustering.assign_nearest(spatial.extract_coordinates(staged.where("accepted")), centres)
+    sinks.write_csv(clustering.cluster_rows(labelled), layout.output("hotspot_clusters_csv"))
 
 
 def write_risk_results(time: DataFrame, totals: DataFrame, layout: Layout) -> None:

@@ -25,8 +25,11 @@ def _degrees(micro: Column) -> Column:
     return (micro.cast("decimal(12,0)") * F.lit(Decimal("0.000001"))).cast("string")
 
 
-def violations_from_events(events: DataFrame) -> DataFrame:
-    """Raw incidents with repeated places, padded and missing types and all kinds of rejects."""
+def violations_from_events(events: DataFrame, *extra: Column) -> DataFrame:
+    """Raw incidents with repeated places, padded and missing types and all kinds of rejects.
+
+    ``extra`` columns of the events go along.
+    """
     event, user = F.col("event_id"), F.col("user_id")
 
     def every(n: int) -> Column:
@@ -50,4 +53,5 @@ def violations_from_events(events: DataFrame) -> DataFrame:
                 F.concat_ws(",", _degrees(lat), _degrees(lon))
             ),
         ).alias("Location"),
+        *extra,
     )

@@ -27,7 +27,8 @@ def read_incidents_csv(
     Columns go by their header names; files whose headers differ from each other fail instead
     of mixing columns. Types are never inferred, as that reads all data once more. Quotes
     inside quoted fields are doubled. ``multi_line`` allows line breaks inside quoted fields at
-    the price of one task per file. ``na_tokens`` become null; pass ``None`` to keep them.
+    the price of one task per file. ``na_tokens`` become null; pass ``None`` to keep them. Values
+    that the folder names hold (``day=2026-01-05``) become typed columns, by which reads are pruned.
     """
     df = (
         spark.read.option("header", True)
@@ -40,7 +41,9 @@ def read_incidents_csv(
     if na_tokens is None:
         return df
     tokens = tuple(na_tokens)
-    return df.select(*(null_if_na(F.col(f"`{c}`"), tokens).alias(c) for c in df.columns))
+    return df.withColumns(
+        {f.name: null_if_na(F.col(f"`{f.name}`"), tokens) for f in df.schema if f.dataType == T.StringType()}
+    )
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

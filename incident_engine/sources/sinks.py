@@ -13,6 +13,15 @@ def write_parquet(df: DataFrame, path: str, *partition_by: str) -> None:
     df.write.mode("overwrite").parquet(path, partitionBy=list(partition_by) or None)
 
 
+def replace_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
+    """Replace the partitions that ``df`` has rows of in a partitioned parquet directory, no others (K1).
+
+    Rows are dealt by partition value into files of even size, also where one value has most rows.
+    """
+    even = df.hint("rebalance", *(F.col(c) for c in partition_by))
+    even.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path, partitionBy=list(partition_by))
+
+
 # Values keep their outer blanks, and quotes inside quoted fields are doubled.
 CSV_OPTIONS = {
     "header": True,

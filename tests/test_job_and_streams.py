@@ -1,12 +1,15 @@
 import datetime as dt
+import pathlib
 import time
 
 import pytest
 from helpers import hundred_incidents, raw_frame, values
+from pyspark.sql import functions as F
 
 from incident_engine import constants as C
 from incident_engine import scratch
 from incident_engine.operators import cleaning, clustering, locations, risk, spatial, temporal
+from incident_engine.plans import daily
 from incident_engine.plans.stages import run_pipeline
 from incident_engine.sources import files, sinks, synth
 from incident_engine.streaming import surges
@@ -196,3 +199,54 @@ def test_stream_tells_of_late_rows_and_keeps_clock_hours_in_any_zone(spark, tmp_
     assert len(closed + still) == len(set(closed + still)) and set(closed + still) <= hours
     assert late == (set() if per_batch is None else {2, 11})
     assert surges.dropped_groups(job) == len(late)
+
+
+# ---- daily runs ------------------------------------------------------------------------------
+
+
+DAYS = [dt.date(2026, 1, d) for d in (5, 6, 7)]
+
+
+def delivered(spark, messy_raw, path):
+    """Raw rows as CSV files in a folder per day of delivery, late rows and rejects among them."""
+    day = F.expr("date_add(DATE '2026-01-05', cast(abs(hash(Violation_Id, Location)) % 3 as int))")
+    frame = messy_raw.withColumn("day", day)
+    frame.write.partitionBy("day").options(**sinks.CSV_OPTIONS).csv(path)
+    return files.read_incidents_csv(spark, path)
+
+
+def outputs(spark, layout):
+    names = [n for n in RESULTS if n != "hotspot_clusters_csv"]
+    return {n: rows(files.read_result_csv(spark, layout.output(n), RESULTS[n])) for n in names}
+
+
+def test_daily_runs_equal_one_run_over_all_days(spark, messy_raw, tmp_path):
+    raw = delivered(spark, messy_raw, str(tmp_path / "in"))
+    assert dict(raw.dtypes)["day"] == "date"
+    one = daily.run_days(raw, str(tmp_path / "one"), DAYS)
+    for part in (DAYS[:2], DAYS[2:], DAYS[1:2]):  # a day more, then a day again
+        step = daily.run_days(raw, str(tmp_path / "step"), part)
+    assert outputs(spark, step) == outputs(spark, one)
+    source = str(tmp_path / "whole")
+    sinks.write_csv(messy_raw, source)
+    whole = run_pipeline(spark, source, str(tmp_path / "whole_out"))
+    assert outputs(spark, step) == outputs(spark, whole)
+    stored = files.read_result_csv(spark, whole.output("hotspot_clusters_csv"), C.CLUSTER_SCHEMA)
+    assert rows(daily.labelled_incidents(spark, step)) == rows(stored)
+
+
+def test_a_daily_run_reads_and_replaces_its_day_only(spark, messy_raw, tmp_path):
+    raw = delivered(spark, messy_raw, str(tmp_path / "in"))
+    layout = daily.DailyLayout(str(tmp_path / "out"))
+    daily.stage_days(raw, layout, DAYS[:2])
+    before = {p: p.stat().st_mtime_ns for p in pathlib.Path(layout.days).glob("day=2026-01-05/*.parquet")}
+    assert before
+    smaller = raw.where("day <> DATE '2026-01-06' OR Violation_Id IS NOT NULL AND Location IS NOT NULL AND Timestamp LIKE '20%'")
+    daily.stage_days(smaller, layout, DAYS[1:2])
+    assert {p: p.stat().st_mtime_ns for p in pathlib.Path(layout.days).glob("day=2026-01-05/*.parquet")} == before
+    staged = spark.read.parquet(layout.days)
+    assert staged.where("day = DATE '2026-01-06' AND NOT accepted").count() == 0  # rejects of the first delivery are gone
+    plan = daily._of_days(raw, DAYS[1:2])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan or "PartitionFilters: [(day" in plan
+    with pytest.raises(ValueError, match="2030"):
+        daily.stage_days(raw, layout, [dt.date(2030, 1, 1)])
