@@ -13,6 +13,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -24,7 +25,10 @@ from pyspark.sql import types as T
 from incident_engine.llm.batches import free_name, map_texts
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
+#: Elements whose content is no markup, up to their end tag.
+RAW = frozenset("script style noscript template textarea title iframe".split())
+#: Elements that an end in their own opening tag closes, as they are not HTML's.
+FOREIGN = frozenset("svg math".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol p pre section summary table "
@@ -42,8 +46,10 @@ CLOSES = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
 }
-NOISE_TAGS = frozenset("nav aside footer form button dialog menu head noscript fieldset".split())
-NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
+#: Elements that never hold article text, and those that do not unless they wrap the content of the page.
+NOISE_TAGS = frozenset("nav aside footer menu head svg object select annotation annotation-xml".split())
+BOX_TAGS = frozenset("form button dialog fieldset".split())
+BOX_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 #: Words of class or id that speak for a part of a page outside its article: the smoothed score of a
 #: block is multiplied by MARKED for each element around it with such a word.
 MARKED = 0.25
@@ -59,7 +65,8 @@ TAG = re.compile(
     r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|$)""",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?(?=[\s/]|$)""", re.I)
+#: A name and, in quotes or bare, its value: names inside of other names or of values are never seen.
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|"[^"]*"|'[^']*'""")
 WORD = re.compile(r"[a-z]+")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；]")
 #: Smoothing weights over neighbouring blocks (a Gaussian of deviation 1, cut at two blocks).
@@ -68,33 +75,97 @@ KERNEL = [math.exp(-k * k / 2) for k in range(-2, 3)]
 
 @dataclass
 class Block:
-    """A run of text of one block element."""
+    """A run of text directly in one element; `linked` of its characters are in links."""
 
-    path: tuple[str, ...]
-    elements: tuple[int, ...]
+    node: int
     text: str
     linked: int
-    marked: tuple[int, ...] = ()
 
 
-def _is_noise(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in NOISE_TAGS or (tag == "header" and not in_article):
-        return True
-    for key, *values in ATTRIBUTE.findall(attributes) if attributes else ():
-        key, value = key.lower(), next((v for v in values if v), "").lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in NOISE_ROLES:
-            return True
-    return False
+class Tree:
+    """The elements of a page in the order of their opening tags, so a parent's number is below its children's.
 
+    Element 0 is the page. All passes over it follow parents by number and take time in proportion to its size.
+    """
 
-def _is_marked(tag: str, attributes: str, in_article: bool) -> bool:
+    def __init__(self) -> None:
+        self.tag, self.parent, self.marked, self.boxed = [""], [0], [False], [False]
+
+    def add(self, tag: str, parent: int, marked: bool, boxed: bool) -> int:
+        for column, value in zip((self.tag, self.parent, self.marked, self.boxed), (tag, parent, marked, boxed)):
+            column.append(value)
+        return len(self.tag) - 1
+
+    def summed(self, values: dict[int, int]) -> list[int]:
+        """Sums of values by element over all elements inside each."""
+        total = [values.get(e, 0) for e in range(len(self.tag))]
+        for e in range(len(total) - 1, 0, -1):
+            total[self.parent[e]] += total[e]
+        return total
+
+    def ends(self) -> list[int]:
+        """The last element inside each."""
+        end = list(range(len(self.tag)))
+        for e in range(len(end) - 1, 0, -1):
+            end[self.parent[e]] = max(end[self.parent[e]], end[e])
+        return end
+
+    def inherited(self, own: list[bool]) -> list[int]:
+        """How many of an element and those around it are flagged."""
+        depth = [int(own[0])]
+        for e in range(1, len(own)):
+            depth.append(depth[self.parent[e]] + own[e])
+        return depth
+
+    def paths(self, starred: list[bool]) -> list[int]:
+        """A number for the path of block elements down to each element; equal paths have equal numbers."""
+        known: dict[tuple[int, str, bool], int] = {}
+        path = [0]
+        for e in range(1, len(self.tag)):
+            above = path[self.parent[e]]
+            key = above, self.tag[e], starred[e]
+            path.append(known.setdefault(key, len(known) + 1) if self.tag[e] in BLOCKS else above)
+        return path
+
+    def holders(self) -> list[int]:
+        """The innermost element that groups blocks, of each element; 0 if that is the page."""
+        found = [0]
+        for e in range(1, len(self.tag)):
+            found.append(e if self.tag[e] in HOLDERS else found[self.parent[e]])
+        return found
+
+    def innermost_blocks(self) -> list[int]:
+        """The innermost block element of each element; 0 if that is the page."""
+        found = [0]
+        for e in range(1, len(self.tag)):
+            found.append(e if self.tag[e] in BLOCKS else found[self.parent[e]])
+        return found
+
+
+def attributes_of(raw: str) -> dict[str, str]:
+    """Attributes of an opening tag by lower-case name; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(raw):
+        if name:
+            found.setdefault(name.lower(), next((v for v in values if v), ""))
+    return found
+
+
+def _is_noise(tag: str, attributes: dict[str, str]) -> bool:
+    return tag in NOISE_TAGS or "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
+
+
+def _is_boxed(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    return tag in BOX_TAGS or (tag == "header" and not in_article) or attributes.get("role", "").lower() in BOX_ROLES
+
+
+def _is_marked(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     """Whether a class or id speaks for noise. Headings and the page's frame never do, nor the id of a section that
     has other words too (a link's target), nor the word header inside an article, where it holds the title."""
-    if not attributes or tag in ("html", "body", "article", "main", *HEADINGS):
+    if tag in ("html", "body", "article", "main", *HEADINGS):
         return False
-    for key, *values in ATTRIBUTE.findall(attributes):
-        key = key.lower()
-        for name in next((v for v in values if v), "").lower().split() if key in ("class", "id") else ():
+    for key in ("class", "id"):
+        for name in attributes.get(key, "").lower().split():
             found = WORD.findall(name)
             noise = NOISE_WORDS & set(found) - ({"header"} if in_article else set())
             if noise and not set(found) & LAYOUT_WORDS and not (key == "id" and tag == "section" and set(found) - noise):
@@ -102,36 +173,72 @@ def _is_marked(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def blocks_of(page: str) -> list[Block]:
-    """All blocks of text outside of noise, in page order, character references decoded."""
-    out: list[Block] = []
-    stack: list[tuple[str, int, bool]] = []  # name, element number, in noise
-    marks: set[int] = set()
+class _Open:
+    """The open elements, with the places of each name, so that no step looks through all of them."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int, bool]] = []  # name, element, in noise
+        self.at: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+
+    def push(self, tag: str, node: int, noise: bool) -> None:
+        self.at[tag].append(len(self.stack))
+        if tag in BLOCKS:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, node, noise))
+
+    def pop(self) -> int:
+        tag, node, _ = self.stack.pop()
+        self.at[tag].pop()
+        if tag in BLOCKS:
+            self.blocks.pop()
+        return node
+
+    def last(self, *tags: str) -> int:
+        """Place of the innermost open element of some names, or -1."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
+
+    def first_above(self, place: int, tags: set[str]) -> int | None:
+        """The outermost open element of some names inside the given place."""
+        found = [self.at[t][i] for t in tags if (i := bisect_right(self.at.get(t, ()), place)) < len(self.at.get(t, ()))]
+        return min(found, default=None)
+
+    def in_noise(self) -> bool:
+        return bool(self.stack) and self.stack[-1][2]
+
+
+def blocks_of(page: str) -> tuple[Tree, list[Block]]:
+    """The elements of a page, and all blocks of text outside of noise in page order, references decoded."""
+    tree, out, opened = Tree(), [], _Open()
     text: list[str] = []
-    linked, made, at, n = 0, 0, 0, len(page)
+    owner, linked, at, n = 0, 0, 0, len(page)
+
+    def top() -> int:
+        return opened.stack[-1][1] if opened.stack else 0
 
     def flush() -> None:
         nonlocal linked
         if text:
             joined = " ".join(entities.unescape("".join(text)).split())
-            if joined and not (stack and stack[-1][2]):
-                kept = [(t, e) for t, e, _ in stack if t in BLOCKS]
-                marked = tuple(e for _, e, _ in stack if e in marks)
-                out.append(Block(tuple(t for t, _ in kept), tuple(e for _, e in kept), joined, linked, marked))
+            if joined:
+                out.append(Block(owner, joined, linked))
             text.clear()
         linked = 0
 
     def close(depth: int) -> None:
-        if any(t in BLOCKS or e in marks for t, e, _ in stack[depth:]):
+        cuts = any(t in BLOCKS or tree.marked[e] for t, e, _ in opened.stack[depth:])
+        if cuts:
             flush()
-        del stack[depth:]
+        while len(opened.stack) > depth:
+            opened.pop()
 
     while at < n:
         m = TAG.search(page, at)
         piece = page[at : m.start()] if m else page[at:]
-        if piece and not (stack and stack[-1][2]):
+        if piece and not opened.in_noise():
+            owner = owner if text else top()
             text.append(piece)
-            if any(t == "a" for t, _, _ in stack):
+            if opened.at["a"]:
                 linked += len(piece)
         if not m:
             break
@@ -139,116 +246,130 @@ def blocks_of(page: str) -> list[Block]:
         if not tag:
             continue
         if m[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is not None and (tag in BLOCKS or not any(t in BLOCKS for t, _, _ in stack[depth:])):
+            depth = opened.last(tag)
+            if depth >= 0 and (tag in BLOCKS or not opened.blocks or opened.blocks[-1] < depth):
                 close(depth)
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
-        if tag in VOID or m[3].endswith("/") and tag not in BLOCKS:
-            if tag in ("br", "hr"):
+        closed = m[3].endswith("/")
+        if tag in VOID or closed and tag not in BLOCKS:
+            if tag in ("br", "hr") and text:
                 text.append(" ")
             continue
         if tag in BLOCKS:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
-            if depth is not None and not any(t in ("td", "th", "button") for t, _, _ in stack[depth:]):
+            depth = opened.last("p")
+            if depth > opened.last("td", "th", "button"):
                 close(depth)
-            closes, stops = CLOSES.get(tag, ((), ()))
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in closes:
-                    close(i)
-                elif stack[i][0] in stops:
-                    break
+            closes, stops = CLOSES.get(tag, (set(), set()))
+            above = opened.first_above(opened.last(*stops), closes)
+            if above is not None:
+                close(above)
             flush()
-        made += 1
-        inside = any(t in ("article", "main") for t, _, _ in stack)
-        noise = bool(stack and stack[-1][2]) or _is_noise(tag, m[3], inside)
-        mark = not noise and _is_marked(tag, m[3], inside)
-        if mark:
-            marks.add(made)
-        if mark or noise and not (stack and stack[-1][2]):
+        inside = bool(opened.at["article"] or opened.at["main"])
+        attributes = attributes_of(m[3]) if m[3] else {}
+        noise = opened.in_noise() or _is_noise(tag, attributes)
+        mark = not noise and bool(attributes) and _is_marked(tag, attributes, inside)
+        box = not noise and _is_boxed(tag, attributes, inside)
+        if mark or box:
             flush()
-        stack.append((tag, made, noise))
+        opened.push(tag, tree.add(tag, top(), mark or box, box), noise)
     flush()
-    return out
+    return tree, out
 
 
-def with_wrappers_cleared(blocks: list[Block]) -> list[Block]:
-    """The blocks without the marks of elements that hold half of the page's unlinked text or more: such an
-    element wraps the content. A mark that is left changes the path, so that it is scored apart."""
-    held: dict[int, int] = defaultdict(int)
-    for b in blocks:
-        for e in b.marked:
-            held[e] += max(0, len(b.text) - b.linked)
-    total = sum(max(0, len(b.text) - b.linked) for b in blocks)
-    out = []
-    for b in blocks:
-        marked = tuple(e for e in b.marked if 2 * held[e] < total)
-        path = tuple(t + "*" if e in marked else t for t, e in zip(b.path, b.elements))
-        out.append(Block(path, b.elements, b.text, b.linked, marked))
-    return out
-
+def without_boxes(tree: Tree, blocks: list[Block]) -> tuple[list[bool], list[Block], set[int]]:
+    """Flags of the elements whose mark counts, the blocks outside of boxes, and the elements of a title in a header.
 
-def path_scores(blocks: list[Block]) -> dict[tuple[str, ...], float]:
-    """Fused ratio per tag path: mean text length times the share of punctuation, links left out."""
-    length, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
+    An element that holds half of the page's unlinked text or more wraps the content: its mark is cleared, and
+    as a box it stays. Other boxes go with all they hold, but for the title: on a page without article and main
+    element whose only headings of the first level stand in page headers, these stay.
+    """
+    unlinked: dict[int, int] = defaultdict(int)
     for b in blocks:
-        length[b.path] += max(0, len(b.text) - b.linked)
-        marks[b.path] += len(PUNCTUATION.findall(b.text))
-        count[b.path] += 1
+        unlinked[b.node] += max(0, len(b.text) - b.linked)
+    held = tree.summed(unlinked)
+    marked = [m and 2 * h < held[0] for m, h in zip(tree.marked, held)]
+    headers = tree.inherited([m and box and t == "header" for m, box, t in zip(marked, tree.boxed, tree.tag)])
+    boxes = tree.inherited([m and box for m, box in zip(marked, tree.boxed)])
+    block_of = tree.innermost_blocks()
+    kept = [b for b in blocks if not boxes[b.node]]
+    if not {"article", "main"} & set(tree.tag) and not any(tree.tag[block_of[b.node]] == "h1" for b in kept):
+        kept = [b for b in blocks if not boxes[b.node] or tree.tag[block_of[b.node]] == "h1" and headers[b.node] == boxes[b.node]]
+    return marked, kept, {b.node for b in kept if boxes[b.node]}
+
+
+def path_scores(paths: list[int], blocks: list[Block]) -> dict[int, float]:
+    """Fused ratio per tag path: mean text length times the share of punctuation, links left out.
+
+    `paths` has the path number of each block. On a page whose text is nearly all links, they count as text.
+    """
+    text, links = sum(len(b.text) for b in blocks), sum(min(len(b.text), b.linked) for b in blocks)
+    all_links = 10 * links >= 9 * text
+    length, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
+    for p, b in zip(paths, blocks):
+        length[p] += len(b.text) if all_links else max(0, len(b.text) - b.linked)
+        marks[p] += len(PUNCTUATION.findall(b.text))
+        count[p] += 1
     return {p: length[p] / count[p] * math.log2(2 + marks[p] / count[p]) for p in count}
 
 
-def content_blocks(blocks: list[Block]) -> list[Block]:
+def smoothed(raw: list[float]) -> list[float]:
+    """Weighted means over neighbouring blocks."""
+    total = sum(KERNEL)
+    return [sum(w * raw[i + k] for k, w in zip(range(-2, 3), KERNEL) if 0 <= i + k < len(raw)) / total for i in range(len(raw))]
+
+
+def content_blocks(tree: Tree, blocks: list[Block]) -> list[Block]:
     """The blocks of the paths over the threshold, and what goes with them in the element that holds them."""
+    marked, blocks, titles = without_boxes(tree, blocks)
     if not blocks:
         return []
-    blocks = with_wrappers_cleared(blocks)
-    score = path_scores(blocks)
-    raw = [score[b.path] for b in blocks]
-    total = sum(KERNEL)
-    smooth = [sum(w * raw[i + k] for k, w in zip(range(-2, 3), KERNEL) if 0 <= i + k < len(raw)) / total for i in range(len(raw))]
-    smooth = [s * MARKED ** len(b.marked) for b, s in zip(blocks, smooth)]
+    by_element, depth = tree.paths(marked), tree.inherited(marked)
+    paths = [by_element[b.node] for b in blocks]
+    score = path_scores(paths, blocks)
+    smooth = [s * MARKED ** depth[b.node] for b, s in zip(blocks, smoothed([score[p] for p in paths]))]
     mean = sum(smooth) / len(smooth)
     threshold = min(mean, math.sqrt(sum((s - mean) ** 2 for s in smooth) / len(smooth)) or mean)
     by_path = defaultdict(list)
-    for b, s in zip(blocks, smooth):
-        by_path[b.path].append(s)
+    for p, s in zip(paths, smooth):
+        by_path[p].append(s)
     chosen = {p for p, s in by_path.items() if sum(s) / len(s) >= threshold and score[p] > 0}
-    weight: dict[int, int] = defaultdict(int)
-    names: dict[int, str] = {}
-    total_chosen = 0
-    for b in blocks:
-        if b.path in chosen:
-            total_chosen += len(b.text)
-            for t, e in zip(b.path, b.elements):
-                weight[e] += len(b.text)
-                names[e] = t.rstrip("*")
-    articles = [e for e, t in names.items() if t in ("article", "main") and 2 * weight[e] >= total_chosen]
+    taken: dict[int, int] = defaultdict(int)
+    for p, b in zip(paths, blocks):
+        if p in chosen:
+            taken[b.node] += len(b.text)
+    weight, block_of, holder, end = tree.summed(taken), tree.innermost_blocks(), tree.holders(), tree.ends()
+    total = sum(taken.values())
+    held = [e for e in range(1, len(tree.tag)) if weight[e] and tree.tag[e] in BLOCKS]
+    articles = [e for e in held if tree.tag[e] in ("article", "main") and 2 * weight[e] >= total]
     if articles:
         root = max(articles)
     else:  # the deepest element that holds nearly all chosen text
-        holders = [e for e in weight if 10 * weight[e] >= 9 * total_chosen and names[e] not in ("p", "li", "td", "th", *HEADINGS)]
-        root = max(holders, default=None)
-    beside = {_holder(b) for b in blocks if b.path in chosen and root not in b.elements} - {None}
-    return [b for b in blocks if b.path in chosen or (root is None or root in b.elements or _holder(b) in beside) and _goes_along(b)]
+        root = max((e for e in held if 10 * weight[e] >= 9 * total and tree.tag[e] not in ("p", "li", "td", "th", *HEADINGS)), default=None)
 
+    def in_root(b: Block) -> bool:
+        return root is not None and root <= b.node <= end[root]
 
-def _holder(b: Block) -> int | None:
-    """The innermost element around a block that groups blocks; none if that is the page itself."""
-    return next((e for t, e in zip(reversed(b.path), reversed(b.elements)) if t.rstrip("*") in HOLDERS), None)
+    beside = {holder[b.node] for p, b in zip(paths, blocks) if p in chosen and not in_root(b)} - {0}
 
+    def goes_along(b: Block) -> bool:
+        """Whether a block that its own path does not select belongs to the selected ones beside it."""
+        e = block_of[b.node]
+        return tree.tag[e] in HEADINGS and not marked[e] or not depth[b.node] and 2 * b.linked < len(b.text)
 
-def _goes_along(b: Block) -> bool:
-    """Whether a block that its own path does not select belongs to the selected ones beside it."""
-    return b.path[-1:] and b.path[-1] in HEADINGS or not b.marked and 2 * b.linked < len(b.text)
+    return [
+        b
+        for p, b in zip(paths, blocks)
+        if p in chosen or (root is None or in_root(b) or holder[b.node] in beside) and goes_along(b) or b.node in titles
+    ]
 
 
 def main_text(page: str) -> str:
     """The main text of a page: its content blocks in page order, joined by two line feeds."""
-    return "\n\n".join(b.text for b in content_blocks(blocks_of(page)))
+    return "\n\n".join(b.text for b in content_blocks(*blocks_of(page)))
 
 
 def extract(pages: DataFrame, html: str = "html", name: str = "main") -> DataFrame:
