@@ -26,12 +26,17 @@ PROPOSED = 6
 BEAM, OPENED, ENTRIES, STEPS = 320, 128, 32, 20
 
 
+#: Steps of a unit's components. Near copies differ in these, and their cosines, worked out in double
+#: precision, in the last digits of a double only where those of the vectors themselves do.
+STEP = 2**30
+
+
 def _rows(column: pa.Array) -> np.ndarray:
     """The units of a column as rows of a matrix, of length 1 but for rounding."""
     data = column.to_pylist()
     if not data:
-        return np.zeros((0, 1), np.float32)
-    x = np.frombuffer(b"".join(data), np.int8).reshape(len(data), -1).astype(np.float32)
+        return np.zeros((0, 1))
+    x = np.frombuffer(b"".join(data), np.int32).reshape(len(data), -1) / STEP
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-6)
 
 
@@ -49,14 +54,14 @@ def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
-    """node (least id of equal vectors), vector (doubles), unit (direction in steps of 1/127, a byte each)."""
+    """node (least id of equal vectors), vector (doubles), unit (direction in steps of 1 / STEP, four bytes each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = np.stack([np.asarray(v) for v in batch.column("vector").to_pylist()])
-            x = np.rint(127 * (x / np.abs(x).max(axis=1, keepdims=True))).astype(np.int8)
+            x = np.rint(STEP * (x / np.abs(x).max(axis=1, keepdims=True))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([r.tobytes() for r in x], pa.binary())], ["node", "vector", "unit"])
 
     return rows.groupBy("vector").agg(F.min("id").alias("node")).select("node", "vector").mapInArrow(run, "node long, vector array<double>, unit binary")
@@ -99,7 +104,7 @@ def _first_graph(nodes: DataFrame, seed: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(ids[top.ravel()]), pa.array(sims[rows, top.ravel()])], ["u", "v", "s"])
 
         coded = nodes.select("node", "unit").mapInArrow(key, "node long, unit binary, code double")
-        links = coded.repartitionByRange(F.col("code"), F.col("node")).sortWithinPartitions("code", "node").mapInArrow(near, "u long, v long, s float")
+        links = coded.repartitionByRange(F.col("code"), F.col("node")).sortWithinPartitions("code", "node").mapInArrow(near, "u long, v long, s double")
         out = links if out is None else out.unionByName(links)
     return _best(out.withColumn("fresh", F.lit(True)))
 
@@ -134,9 +139,9 @@ def _met(lists: DataFrame) -> DataFrame:
                 best = np.take_along_axis(sims, top, axis=2)
                 g, a, c = np.nonzero(best > -2)
                 u, v = ids[place[g, a]], ids[place[g, top[g, a, c]]]
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(best[g, a, c].astype(np.float32))], ["u", "v", "s"])
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(best[g, a, c])], ["u", "v", "s"])
 
-    return lists.mapInArrow(run, "u long, v long, s float")
+    return lists.mapInArrow(run, "u long, v long, s double")
 
 
 def build(nodes: DataFrame, seed: int = 1) -> DataFrame:
@@ -146,7 +151,7 @@ def build(nodes: DataFrame, seed: int = 1) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("s"), "u"))
         back = graph.withColumn("n", rank).where(f"n <= {K}").select(F.col("v").alias("u"), F.col("u").alias("m"), "fresh")
         members = graph.select("u", F.col("v").alias("m"), "fresh").unionByName(back)
-        worst = graph.groupBy(F.col("u").alias("m")).agg(F.when(F.count(F.lit(1)) >= K, F.min("s")).otherwise(-2.0).cast("float").alias("worst"))
+        worst = graph.groupBy(F.col("u").alias("m")).agg(F.when(F.count(F.lit(1)) >= K, F.min("s")).otherwise(-2.0).cast("double").alias("worst"))
         told = nodes.select(F.col("node").alias("m"), "unit").join(worst, "m", "left").na.fill({"worst": -2.0})
         lists = members.join(told, "m").groupBy("u").agg(F.collect_list(F.struct("m", "unit", "worst", "fresh")).alias("members"))
         proposed = _met(lists.select("members")).withColumn("fresh", F.lit(True))
@@ -157,10 +162,15 @@ def build(nodes: DataFrame, seed: int = 1) -> DataFrame:
     return graph
 
 
+def _near_one(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring the largest component near 1: exact, and no square leaves the range."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _scores(asked: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Cosines of one vector with the rows of a matrix, in double precision."""
     dot = lambda x, y: np.einsum("ij,ij->i", x, y)
-    mine = np.tile(asked, (len(vectors), 1))
+    mine, vectors = np.tile(_near_one(asked[None]), (len(vectors), 1)), _near_one(vectors)
     return dot(mine, vectors) / (np.sqrt(dot(mine, mine)) * np.sqrt(dot(vectors, vectors)))
 
 
