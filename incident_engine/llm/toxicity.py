@@ -6,9 +6,11 @@ change of the score, so that naming a group does not by itself make a text look
 
 from __future__ import annotations
 
+import heapq
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,9 @@ from pyspark.sql import types as T
 from incident_engine.llm import words as W
 from incident_engine.llm.batches import flat, free_name, map_texts, slices
 
+#: Features that a swapped sentence loses, and those that it gains.
+Swap = tuple[tuple[int, ...], tuple[int, ...]]
+
 # Groups of identity terms that may stand for one another
 IDENTITIES: tuple[tuple[str, ...], ...] = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"),
@@ -125,11 +130,18 @@ def _known(column: pa.Array, keys: np.ndarray) -> list[np.ndarray]:
     return [place[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
+def least_hashes(swaps: Iterable[Swap], bound: int) -> list[Swap]:
+    """Those of the swaps, each as often as it occurs, whose hashes are least: the same in whatever order they come."""
+    return heapq.nsmallest(bound, swaps, key=lambda swap: (blake2b(repr(swap).encode(), digest_size=8).digest(), swap))
+
+
 def fit(labelled: DataFrame) -> Model:
     """A model of `labelled` (text, toxic), of which the caller bounds the rows (SAMPLE_ROWS).
 
     Features are chosen by the difference of their shares in the two classes, over its deviation; those of
-    identity terms always count. Without rows of both classes the model scores by their share alone.
+    identity terms always count. Of more than SWAPS swapped sentences in these rows, those with the least
+    hashes are used, and rows are put in one order first, so the model depends on the rows alone, not on
+    how they are spread. Without rows of both classes the model scores by their share alone.
     """
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +180,8 @@ def fit(labelled: DataFrame) -> Model:
             )
 
     got = labelled.mapInArrow(rows, "known array<int>, toxic int, swaps array<struct<a: array<int>, b: array<int>>>").collect()
-    swaps = [(s.a, s.b) for r in got for s in r.swaps][:SWAPS]
+    swaps = least_hashes(((tuple(s.a), tuple(s.b)) for r in got for s in r.swaps), SWAPS)
+    got = sorted(got, key=lambda r: (r.known, r.toxic))
     weights, constant = train([r.known for r in got], np.array([r.toxic for r in got], float), swaps, len(keys))
     return Model(keys, weights, constant)
 
