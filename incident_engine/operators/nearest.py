@@ -89,6 +89,15 @@ def _refined(pairs: DataFrame, points: DataFrame, centres: DataFrame, size: floa
     return bounded.withColumn("best", best).where("low <= best").select("px", "py", "cx", "cy")
 
 
+def _depth(placed: DataFrame) -> tuple[int, int]:
+    """The first depth at which no cell has over LEAF centres (or DEPTH), and the number of centres."""
+    levels = placed.select("cx", "cy", F.explode(F.sequence(F.lit(1), F.lit(DEPTH))).alias("depth"))
+    cell = [F.expr(f"shiftright({c}, {BITS} * ({DEPTH} - depth))").alias(c) for c in ("cx", "cy")]
+    counts = levels.groupBy("depth", *cell).agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.groupBy("depth").agg(F.max("n").alias("most"), F.sum("n").alias("n")).collect()
+    return min((r["depth"] for r in rows if r["most"] <= LEAF), default=DEPTH), rows[0]["n"]
+
+
 def distinct_centres(centres: DataFrame) -> DataFrame:
     """One centre per place, that of the lowest id; centres without id or a whole, finite place are left out."""
     finite = [~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))) for c in ("center_lat", "center_lon")]
@@ -105,27 +114,22 @@ def nearest_places(places: DataFrame, centres: DataFrame) -> DataFrame:
     the lowest id. Places with a null, infinite or NaN coordinate get none. Without centres there are no rows.
     """
     finite = [~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))) for c in ("lat", "lon")]
-    places = places.where(finite[0] & finite[1]).select("lat", "lon").distinct()
+    places = cut_lineage(places.where(finite[0] & finite[1]).select("lat", "lon").distinct())
     spots = cut_lineage(distinct_centres(centres))
     square = _Square.around(places, spots) if not spots.isEmpty() else None
     if square is None:
-        return places.where("false").select(
-            "lat", "lon", F.lit(None).cast(centres.schema["cluster_id"].dataType).alias("prediction"), F.lit(None).cast("double").alias("distance")
-        )
+        kind = centres.schema["cluster_id"].dataType
+        none = F.lit(None).cast(kind).alias("prediction"), F.lit(None).cast("double").alias("distance")
+        return places.where("false").select("lat", "lon", *none)
     at = [square.index(c, DEPTH).alias(x) for c, x in (("lat", "cx"), ("lon", "cy"))]
     placed = spots.select("cluster_id", "lat", "lon", *at)
-    depth = 1
-    while depth < DEPTH:
-        cell = [F.shiftright(c, BITS * (DEPTH - depth)) for c in ("cx", "cy")]
-        if placed.groupBy(*cell).count().where(F.col("count") > LEAF).isEmpty():
-            break
-        depth += 1
+    depth, n = _depth(placed)
     own = [square.index(c, depth).alias(x) for c, x in (("lat", "px"), ("lon", "py"))]
-    points = cut_lineage(places.select("lat", "lon", *own))
+    points = places.select("lat", "lon", *own)
     cells = cut_lineage(points.select("px", "py").distinct())
     leaf = [F.shiftright(c, BITS * (DEPTH - depth)).alias(c) for c in ("cx", "cy")]
     centre_cells = placed.select(*leaf, "cluster_id", F.col("lat").alias("to_lat"), F.col("lon").alias("to_lon"))
-    few = spots.count() <= BROADCAST_ROWS
+    few = n <= BROADCAST_ROWS
     zero = F.lit(0).cast("long")
     pairs = _parents(cells, "px", "py", depth).select("px", "py", zero.alias("cx"), zero.alias("cy"))
     for d in range(1, depth + 1):
