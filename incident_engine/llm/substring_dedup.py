@@ -4,14 +4,19 @@ An edge of the graph is a run of SPAN words, a node the SPAN - 1 words that two
 edges that occur twice matter: first, sampled shorter runs tell where such edges can lie, then the edges there
 are looked up by two hashes of 64 bits each, with the edges that follow and precede them. Joined back to the
 documents, edges that always have the same successor and predecessor are compacted into nonbranching paths,
-each with its source coordinates.
+each with its source coordinates. The words at these coordinates are read again: a path counts as repeated
+only where a second place, found by a Spark join, has the same words. What is removed follows from these
+verified paths alone.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from incident_engine.llm import spread as S
 from incident_engine.llm import words as W
@@ -19,16 +24,31 @@ from incident_engine.llm.batches import flat
 
 SPAN, GRAM = 35, 20
 GAP = SPAN - GRAM
-_KINDS = [("<u8", 1), ("<u8", 1), ("<u4", 1), ("<u4", 1)]
-NONE, MANY = np.uint32(0), np.uint32(1)
+_KINDS = [("<u8", 1), ("<u8", 1), ("<u8", 1), ("<u8", 1)]
+NONE, MANY = np.uint64(0), np.uint64(1)
 
 
-class Runs:
-    """Words of a chunk's texts, their sampled runs of GRAM words and all runs of SPAN words."""
+class Words:
+    """Words of a chunk's texts."""
 
     def __init__(self, docs: pa.Table):
         self.data, self.offsets = flat(docs["text"].combine_chunks())
         self.starts, self.ends, self.at = W.find_words(self.data, self.offsets)
+
+    def joined(self) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all words, each followed by a blank, and the n + 1 places of the words in them."""
+        places = np.append(0, np.cumsum(self.ends - self.starts + 1))
+        out, word = np.full(places[-1], 32, np.uint8), np.ones(places[-1], bool)
+        word[places[1:] - 1] = False
+        out[word] = self.data[~W.BLANK[self.data]]
+        return out, places
+
+
+class Runs(Words):
+    """Words of a chunk's texts, their sampled runs of GRAM words and all runs of SPAN words."""
+
+    def __init__(self, docs: pa.Table):
+        super().__init__(docs)
         n = len(self.starts)
         words = W.span_hashes(self.data, self.starts, self.ends)
         end = np.repeat(self.at[1:], np.diff(self.at))
@@ -50,8 +70,8 @@ class Runs:
 
         The least sample of an edge that occurs twice is sampled in both places, so it is repeated.
 
-        Columns: first hash (its lowest bit: met twice here), second hash, and 32 bits of the next and the
-        previous edge in the text, NONE at its ends, MANY where they differ.
+        Columns: first hash (its lowest bit: met twice here), second hash, and the first hash of the next and
+        the previous edge in the text, NONE at its ends, MANY where they differ.
         """
         hit = np.zeros(self.n + SPAN, np.int64)
         hit[self.samples] = repeated
@@ -63,7 +83,7 @@ class Runs:
         one[: len(long)] = long
         one &= ~np.uint64(1)
         two = W.shingle_hashes(self.words ^ np.uint64(0x5851F42D4C957F2D), SPAN)[starts] if len(starts) else np.zeros(0, np.uint64)
-        name = (one >> np.uint64(32)).astype(np.uint32) | np.uint32(2)
+        name = one | np.uint64(2)
         after = np.where(self.left[starts] > SPAN, name[np.minimum(starts + 1, self.n)], NONE)
         first = np.zeros(self.n + 1, bool)
         first[self.at[:-1]] = True
@@ -78,7 +98,7 @@ class Runs:
         same = []
         for x in (after[order], before[order]):
             low, high = (f.reduceat(x, lead) if len(lead) else x for f in (np.minimum, np.maximum))
-            same.append(np.where(low == high, low, MANY).astype("<u4"))
+            same.append(np.where(low == high, low, MANY).astype("<u8"))
         twice = np.diff(np.append(lead, len(order))) > 1
         return (k1[lead] | twice.astype(np.uint64), k2[lead], *same), at, starts
 
@@ -98,22 +118,31 @@ def _known(k1: np.ndarray, k2: np.ndarray, after: np.ndarray, before: np.ndarray
     return verdict
 
 
-def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_words, n_removed, paths and kept (the remaining words joined by a blank) of every row.
+def _compacted(runs: Runs, begins: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, first word and number of words of each path, given the starts of the repeated edges.
 
-    A word goes if a run of SPAN words that covers it also starts anywhere else, in the same document or
-    another, judged on the input; repeated rows are documents of their own. `paths` has the word position,
-    the number of words and the name of each compacted path in the text; equal names mean equal words.
-    Null texts have no words. Only ids and texts are read.
+    An edge continues the path of the edge before if that has no other successor and this no other predecessor.
+    """
+    doc = np.searchsorted(runs.at, begins, "right") - 1
+    follows = np.zeros(len(begins), bool)
+    follows[1:] = (begins[1:] == begins[:-1] + 1) & (doc[1:] == doc[:-1]) & (known[:-1] & 2 > 0) & (known[1:] & 4 > 0)
+    lead = np.flatnonzero(~follows)
+    return doc[lead], begins[lead], np.diff(np.append(lead, len(begins))) + SPAN - 1
+
+
+def path_places(docs: DataFrame, buckets: int) -> DataFrame:
+    """chunk, digest, words, docs, starts: the places of each compacted path in each chunk.
+
+    `docs` has chunk, doc_id and text. `digest` is that of the words at the place itself, so places with the
+    same one hold the same words; `docs` and `starts` number the texts of the chunk and the chunk's words.
+    A path that a chunk holds many times is one row there.
     """
-    chunks, buckets = S.sizes(docs, text)
-    dealt = S.chunked(docs, doc_id, text, chunks)
 
     def ask(group: pa.Table) -> pa.Table:
         keys, _, twice = Runs(S.ordered(group)).sampled()
         return S.send(group["chunk"][0].as_py(), keys | twice.astype(np.uint64), buckets, [])
 
-    first = S.step(S.bucketed(dealt.groupBy("chunk").applyInArrow(ask, S.SENT), S.answer([("<u8", 1)], S.seen_twice)), 1)
+    first = S.step(S.bucketed(docs.groupBy("chunk").applyInArrow(ask, S.SENT), S.answer([("<u8", 1)], S.seen_twice)), 1)
 
     def offer(group: pa.Table, answers: pa.Table) -> pa.Table:
         runs = Runs(S.ordered(group))
@@ -121,38 +150,77 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         (k1, *rest), _, _ = runs.edges(S.told(answers, "u1", 1)[at] > 0)
         return S.send(group["chunk"][0].as_py(), k1, buckets, rest)
 
-    second = S.step(S.bucketed(S.by_chunk(dealt, first, offer, S.SENT), S.answer(_KINDS, _known)), 2)
+    second = S.step(S.bucketed(S.by_chunk(docs, first, offer, S.SENT), S.answer(_KINDS, _known)), 2)
 
-    def finish(group: pa.Table, answers: pa.Table) -> pa.Table:
-        group = S.ordered(group)
-        runs = Runs(group)
+    def compact(group: pa.Table, answers: pa.Table) -> pa.Table:
+        runs = Runs(S.ordered(group))
         _, at, _ = runs.sampled()
-        (k1, k2, *_), at, starts = runs.edges(S.told(answers, "u1", 1)[at] > 0)
+        _, at, starts = runs.edges(S.told(answers, "u1", 1)[at] > 0)
         known = S.told(answers, "u1", 2)[at]
         twice = (known & 1) > 0
-        begins, known, name = starts[twice], known[twice], (k1[at][twice] & ~np.uint64(1)) ^ k2[at][twice]
-        gone = W.cover(begins, SPAN, runs.n)
-        doc = np.searchsorted(runs.at, begins, "right") - 1
-        joined = np.zeros(len(begins), bool)  # to the edge before: adjacent, its only successor, and its only predecessor
-        joined[1:] = (begins[1:] == begins[:-1] + 1) & (doc[1:] == doc[:-1]) & (known[:-1] & 2 > 0) & (known[1:] & 4 > 0)
-        lead = np.flatnonzero(~joined)
-        sizes = np.diff(np.append(lead, len(begins))) + SPAN - 1
+        doc, begins, sizes = _compacted(runs, starts[twice], known[twice])
+        out, place = runs.joined()
+        text = memoryview(out)
+        found: dict[tuple[bytes, int], tuple[list[int], list[int]]] = {}
+        for d, s, n, a, b in zip(*(x.tolist() for x in (doc, begins, sizes, place[begins], place[begins + sizes] - 1))):
+            docs, starts = found.setdefault((hashlib.blake2b(text[a:b], digest_size=16).digest(), n), ([], []))
+            docs.append(d)
+            starts.append(s)
+        return pa.table({
+            "chunk": pa.array([group["chunk"][0].as_py()] * len(found), pa.int32()),
+            "digest": pa.array([k for k, _ in found], pa.binary()), "words": pa.array([n for _, n in found], pa.int64()),
+            "docs": pa.array([d for d, _ in found.values()], pa.list_(pa.int64())),
+            "starts": pa.array([s for _, s in found.values()], pa.list_(pa.int64())),
+        })
+
+    schema = "chunk int, digest binary, words long, docs array<long>, starts array<long>"
+    return S.by_chunk(docs, first.unionByName(second), compact, schema)
+
+
+def verified(places: DataFrame) -> DataFrame:
+    """The rows of `path_places` whose words stand at two places or more of the corpus."""
+    counted = places.groupBy("digest", "words").agg(F.sum(F.size("docs")).alias("n")).where("n > 1")
+    return places.join(counted.drop("n"), ["digest", "words"])
+
+
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_words, n_removed, paths and kept (the remaining words joined by a blank) of every row.
+
+    A word goes if a run of SPAN words that covers it also starts anywhere else, in the same document or
+    another, judged on the input; repeated rows are documents of their own. `paths` has the word position,
+    the number of words and the name of each verified path in the text; equal names mean equal words. The
+    words removed are those the paths cover. Null, empty and blank texts have no words, and an empty table
+    gives no rows; a long text is worked on whole, in the task of its chunk. Only ids and texts are read.
+    """
+    chunks, buckets = S.sizes(docs, text)
+    dealt = S.chunked(docs, doc_id, text, chunks)
+    places = verified(path_places(dealt, buckets).checkpoint())
+
+    def cut(group: pa.Table, found: pa.Table) -> pa.Table:
+        group = S.ordered(group)
+        words = Words(group)
         paths: list[list[dict]] = [[] for _ in range(len(group))]
-        for d, s, n, h in zip(doc[lead].tolist(), (begins[lead] - runs.at[doc[lead]]).tolist(), sizes.tolist(), name[lead].view(np.int64).tolist()):
-            paths[d].append({"start": s, "words": n, "path": h})
-        kept = []
-        text_bytes = runs.data.tobytes()
-        for a, b in zip(runs.at[:-1].tolist(), runs.at[1:].tolist()):
-            left = np.flatnonzero(~gone[a:b]) + a
-            kept.append(b" ".join(text_bytes[x:y] for x, y in zip(runs.starts[left].tolist(), runs.ends[left].tolist())))
+        covered = np.zeros(len(words.starts) + 1, np.int64)
+        for p in found.select(["digest", "words", "docs", "starts"]).to_pylist():
+            name, n = int.from_bytes(p["digest"][:8], "little", signed=True), p["words"]
+            for d, s in zip(p["docs"], p["starts"]):
+                covered[s] += 1
+                covered[s + n] -= 1
+                paths[d].append({"start": s - int(words.at[d]), "words": n, "path": name})
+        gone = np.cumsum(covered)[:-1] > 0
+        out, place = words.joined()
+        left = np.repeat(~gone, np.diff(place))
+        ends = np.append(0, np.cumsum(left))[place[words.at]]
+        rest = out[left].tobytes()
+        kept = [rest[a : max(a, b - 1)] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
         kind = pa.list_(pa.struct({"start": pa.int64(), "words": pa.int64(), "path": pa.int64()}))
         return pa.table({
-            "doc_id": group["doc_id"], "n_words": pa.array(np.diff(runs.at), pa.int64()), "n_removed": pa.array(W.per_text(gone, runs.at), pa.int64()),
-            "paths": pa.array(paths, kind), "kept": pa.array(kept, pa.binary()),
+            "doc_id": group["doc_id"], "n_words": pa.array(np.diff(words.at), pa.int64()), "n_removed": pa.array(W.per_text(gone, words.at), pa.int64()),
+            "paths": pa.array([sorted(p, key=lambda x: x["start"]) for p in paths], kind), "kept": pa.array(kept, pa.binary()),
         })
 
     schema = "doc_id long, n_words long, n_removed long, paths array<struct<start: long, words: long, path: long>>, kept binary"
-    return S.by_chunk(dealt, first.unionByName(second), finish, schema)
+    return S.by_chunk(dealt, places, cut, schema)
 
 
 def path_table(found: DataFrame) -> DataFrame:
