@@ -3,10 +3,12 @@
 A register holds, on an exponential scale, the least of the exponential variables that a hash draws for
 the elements of a set; registers of the union are the maxima of the sets' registers, and two sets agree in
 a register with a probability that rises with their Jaccard similarity. Equal sets are one class from the
-start. Classes that agree in a whole band are candidates: each is first compared with the least class of
-the buckets it shares most; buckets that then still hold different components are joined to clusters and
-compared in blocks of bounded size, on full sets and emitting links only, so that no link between
-candidates is missed and copies are never expanded into all pairs.
+start. Classes that agree in a whole band are candidates: each is first compared with the most typical class
+of the buckets it shares most, in rounds, as long as these link at least half of what they compare. Buckets
+that then still hold different components are compared in blocks of bounded size, on full sets and emitting
+links only, so that no link between candidates is missed and copies are never expanded into all pairs. A large
+component fills blocks of its own, which meet the others but not each other: the cost of a family of copies
+follows its size.
 """
 
 from __future__ import annotations
@@ -215,41 +217,63 @@ def _links(pairs: DataFrame, texts: DataFrame, classes: DataFrame, percent: int)
     return members.join(centres, "a").mapInArrow(run, "a long, b long").distinct()
 
 
-def _block_links(texts: pa.Array, nodes: np.ndarray, parts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """All links between texts of different parts: shared shingles counted by matrix products."""
+def _block_links(texts: pa.Array, nodes: np.ndarray, parts: np.ndarray, side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between texts of different parts and sides (all pairs if there is one side): shared shingles by matrix products."""
     hashes, at = shingle_sets(texts)
     sizes = np.diff(at).astype(float)
-    values, column, df = np.unique(hashes, return_inverse=True, return_counts=True)
+    _, column, df = np.unique(hashes, return_inverse=True, return_counts=True)
     row = W.text_of(at)
     shared = df[column] > 1
     order = np.argsort(column[shared], kind="stable")
     row, column = row[shared][order], column[shared][order]
-    both = np.zeros((len(nodes), len(nodes)), np.float32)
+    one, two = (np.flatnonzero(side == k) for k in (side.min(), side.max()))
+    both = np.zeros((len(one), len(two)), np.float32)
     names, place = np.unique(column, return_inverse=True)
     edges = np.searchsorted(place, np.arange(0, len(names) + 4096, 4096))
     for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])):
         has = np.zeros((len(nodes), 4096), np.float32)
         has[row[i:j], place[i:j] - 4096 * k] = 1
-        both += has @ has.T
-    union = sizes[:, None] + sizes[None, :] - both
-    linked = (100 * both >= percent * union) & (parts[:, None] != parts[None, :])
-    a, b = np.nonzero(np.triu(linked, 1))
-    return nodes[a], nodes[b]
+        both += has[one] @ has[two].T
+    union = sizes[one][:, None] + sizes[two][None, :] - both
+    a, b = np.nonzero((100 * both >= percent * union) & (parts[one][:, None] != parts[two][None, :]))
+    a, b = nodes[one[a]], nodes[two[b]]
+    return np.minimum(a, b), np.maximum(a, b)
 
 
-def _left_links(left: DataFrame, texts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Links between different parts of buckets (key, node, part), by blocks of their clusters."""
+def _blocks(left: DataFrame) -> DataFrame:
+    """node, part, block of the classes in buckets (key, node, part), by clusters of buckets that share classes.
+
+    A part that fills half a block or more has blocks of its own; smaller ones lie whole in a block.
+    """
     chains = left.groupBy("key").agg(F.min("node").alias("a")).join(left.select("key", F.col("node").alias("b")), "key")
     clusters = components(chains.select("a", "b").distinct())
     placed = left.select("node", "part").distinct().join(clusters, "node")
-    sizes = placed.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = placed.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    keys = classes.select("node", "k1")
-    full = placed.join(keys, "node").join(texts.withColumnRenamed("id", "node"), "node")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = full.withColumn("other", other).select(
-        "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "part", "k1", "text"
+    sizes = placed.groupBy("component", "part").agg(F.count(F.lit(1)).alias("size")).withColumn("own", F.col("size") >= BLOCK // 2)
+    small = sizes.groupBy("component").agg(F.coalesce(F.sum(F.when(~F.col("own"), F.col("size"))), F.lit(0)).alias("small"))
+    blocks = F.ceil(F.when(F.col("own"), F.col("size")).otherwise(F.col("small")) / BLOCK)
+    sizes = sizes.join(small, "component").select("component", "part", "own", blocks.alias("blocks"))
+    number = F.pmod(F.xxhash64(F.when(F.col("own"), F.col("node")).otherwise(F.col("part"))), F.col("blocks"))
+    block = F.struct("component", "own", F.when(F.col("own"), F.col("part")).otherwise(F.lit(0)).alias("of"), number.alias("number"))
+    return placed.join(sizes, ["component", "part"]).select("node", "part", block.alias("block"))
+
+
+def _meetings(left: DataFrame, placed: DataFrame) -> DataFrame:
+    """low, high: the pairs of blocks that have a bucket in common and are not of one part."""
+    at = left.join(placed.select("node", "block"), "node").select("key", "block").distinct()
+    pairs = at.withColumnRenamed("block", "low").join(at.withColumnRenamed("block", "high"), "key")
+    one_part = (F.col("low.own") & F.col("high.own")) & (F.col("low.of") == F.col("high.of"))
+    return pairs.where((F.col("low") <= F.col("high")) & ~one_part).select("low", "high").distinct()
+
+
+def _left_links(left: DataFrame, texts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links between different parts of buckets (key, node, part), by pairs of blocks."""
+    placed = _blocks(left).checkpoint()
+    meetings = _meetings(left, placed)
+    sides = meetings.select("low", "high", F.lit(0).alias("side"), F.col("low").alias("block")).unionByName(
+        meetings.where("low <> high").select("low", "high", F.lit(1).alias("side"), F.col("high").alias("block"))
     )
+    full = placed.join(classes.select("node", "k1"), "node").join(texts.withColumnRenamed("id", "node"), "node")
+    dealt = full.join(sides, "block").select("low", "high", "side", "node", "part", "k1", "text")
 
     def run(group: pa.Table) -> pa.Table:
         column = group["text"].combine_chunks().cast(pa.large_string())
@@ -261,10 +285,37 @@ def _left_links(left: DataFrame, texts: DataFrame, classes: DataFrame, percent:
         keep = np.flatnonzero(own == group["k1"].to_numpy())
         nodes, at = np.unique(group["node"].to_numpy()[keep], return_index=True)
         keep = keep[at]
-        a, b = _block_links(column.take(pa.array(keep)), nodes, group["part"].to_numpy()[keep], percent)
+        if not len(keep):
+            return pa.table({"a": nodes, "b": nodes})
+        part, side = (group[c].to_numpy()[keep] for c in ("part", "side"))
+        a, b = _block_links(column.take(pa.array(keep)), nodes, part, side, percent)
         return pa.table({"a": a, "b": b})
 
-    return dealt.groupBy("component", "low", "high").applyInArrow(run, "a long, b long").distinct()
+    return dealt.groupBy("low", "high").applyInArrow(run, "a long, b long").distinct()
+
+
+def _typical_pairs(left: DataFrame, spent: DataFrame | None) -> DataFrame:
+    """a, b: each class of buckets (key, node, part) with the centre of the buckets that it shares most.
+
+    A bucket's centre is the class that meets most others in all its buckets, ties by the least, spent ones
+    left out: among near copies of one text, the one nearest to that text.
+    """
+    sizes = left.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    met = left.join(sizes, "key").groupBy("node").agg(F.sum("size").alias("met"))
+    able = left.join(met, "node")
+    if spent is not None:
+        able = able.join(spent, "node", "left_anti")
+    rank = F.struct(-F.col("met"), "node")
+    centres = able.groupBy("key").agg(F.min_by("node", rank).alias("a"), F.min_by("part", rank).alias("part_a"))
+    shared = left.join(centres, "key").where("part <> part_a").groupBy("node", "a").agg(F.count(F.lit(1)).alias("bands"))
+    return shared.groupBy(F.col("node").alias("b")).agg(F.min_by("a", F.struct(-F.col("bands"), "a")).alias("a"))
+
+
+def _unsettled(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """key, node, part of the buckets (key, node) that hold several parts."""
+    placed = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
+    mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    return placed.join(mixed.select("key"), "key")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -279,18 +330,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     real = rows.where("n > 0 AND id IS NOT NULL")
     classes = real.groupBy("k1", "k2", "n").agg(F.min("id").alias("node"), F.first("sketch").alias("sketch")).checkpoint()
     buckets = _buckets(classes, percent)
-    shared = buckets.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = buckets.join(shared.select("key", "least"), "key").checkpoint()
+    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = buckets.join(shared.select("key"), "key").checkpoint()
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
 
-    bands = members.where("least <> node").groupBy("node", "least").agg(F.count(F.lit(1)).alias("bands"))
-    most = bands.groupBy(F.col("node").alias("b")).agg(F.min_by("least", F.struct(-F.col("bands"), "least")).alias("a"))
-    likely = _likely(most.select("a", "b"), classes, percent).checkpoint()
-    links = _links(likely, texts, classes, percent).checkpoint()
-    parts = components(links)
-    placed = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
-    mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
-    left = placed.join(mixed.select("key"), "key").checkpoint()
+    left, links, spent, fruitful = members.withColumn("part", F.col("node")), None, None, True
+    while fruitful:
+        pairs = _typical_pairs(left, spent).checkpoint()
+        found = _links(_likely(pairs, classes, percent).checkpoint(), texts, classes, percent).checkpoint()
+        links = found if links is None else links.unionByName(found)
+        centres = pairs.select(F.col("a").alias("node")).distinct()
+        spent = centres if spent is None else spent.unionByName(centres)
+        parts = components(links)
+        left = _unsettled(members, parts).checkpoint()
+        fruitful = 2 * found.count() >= pairs.count() > 0
     if not left.isEmpty():
         parts = components(links.unionByName(_left_links(left, texts, classes, percent)))
     named = classes.join(parts, "node", "left").select("k1", "k2", F.col("n").alias("size"), F.coalesce("component", "node").alias("component"))
