@@ -5,7 +5,7 @@ edges that occur twice matter: first, sampled shorter runs tell where such edges
 are looked up by two hashes of 64 bits each, with the edges that follow and precede them. Joined back to the
 documents, edges that always have the same successor and predecessor are compacted into nonbranching paths,
 each with its source coordinates. The words at these coordinates are read again: a path counts as repeated
-only where a second place, found by a Spark join, has the same words. What is removed follows from these
+only where a second place, found by a Spark shuffle, has the same words. What is removed follows from these
 verified paths alone.
 """
 
@@ -15,7 +15,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from incident_engine.llm import spread as S
@@ -179,8 +179,8 @@ def path_places(docs: DataFrame, buckets: int) -> DataFrame:
 
 def verified(places: DataFrame) -> DataFrame:
     """The rows of `path_places` whose words stand at two places or more of the corpus."""
-    counted = places.groupBy("digest", "words").agg(F.sum(F.size("docs")).alias("n")).where("n > 1")
-    return places.join(counted.drop("n"), ["digest", "words"])
+    same = Window.partitionBy("digest", "words")  # at most one row of a path per chunk, however often it stands there
+    return places.withColumn("n", F.sum(F.size("docs")).over(same)).where("n > 1").drop("n")
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -194,7 +194,7 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     chunks, buckets = S.sizes(docs, text)
     dealt = S.chunked(docs, doc_id, text, chunks)
-    places = verified(path_places(dealt, buckets).checkpoint())
+    places = verified(path_places(dealt, buckets))
 
     def cut(group: pa.Table, found: pa.Table) -> pa.Table:
         group = S.ordered(group)
