@@ -160,11 +160,18 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
 
+def iban_rest(account: Column) -> Column:
+    """An IBAN without separators modulo 97, letters counting 10 to 35 and its first four characters last; 1 if valid."""
+    turned = F.lower(F.concat(F.substring(account, F.lit(5), F.length(account)), F.substring(account, 1, 4)))
+    step = lambda a, c: F.when(c.rlike("[0-9]"), a * 10 + F.ascii(c) - 48).otherwise(a * 100 + F.ascii(c) - 87) % 97
+    return F.aggregate(F.split(turned, ""), F.lit(0), step)
+
+
 def surrogate(key: str, kind: Column, entity: Column, gender: Column, salt: Column) -> Column:
     """The canonical surrogate of a canonical entity, by key and salt.
 
     Domains keep their last label and a reserved `example` label, numbers their leading country code or
-    network digit, valid card numbers stay valid, and names are drawn by gender and script, never the own: kind
+    network digit, valid card numbers and IBANs stay valid, and names are drawn by gender and script, never the own: kind
     "last" is a last name, and "first" the first name of a full name.
     """
     seed = F.concat_ws("\x1f", F.lit(key), kind, entity, salt.cast("string"))
@@ -179,6 +186,9 @@ def surrogate(key: str, kind: Column, entity: Column, gender: Column, salt: Colu
     open_card = F.concat(F.substring(card, F.lit(1), F.length(card) - 1), F.lit("0"))
     checked = F.concat(F.substring(card, F.lit(1), F.length(card) - 1), ((10 - luhn_sum(open_card) % 10) % 10).cast("string"))
     card = F.when(luhn_sum(entity) % 10 == 0, checked).otherwise(card)
+    iban = tied(2)
+    check = lambda digits: F.concat(F.substring(iban, 1, 2), digits, F.substring(iban, F.lit(5), F.length(iban)))
+    iban = F.when(iban_rest(entity) == 1, check(F.lpad((98 - iban_rest(check(F.lit("00")))).cast("string"), 2, "0"))).otherwise(iban)
     hexed = _redraw(entity, stream, "abcdef")
     secret = F.when(entity.rlike("^[0-9a-f]+$"), hexed).otherwise(tied(4))
     drawn_gender = F.when(gender != "", gender).when(_byte(stream, F.lit(0)) % 2 == 0, "m").otherwise("f")
@@ -188,7 +198,7 @@ def surrogate(key: str, kind: Column, entity: Column, gender: Column, salt: Colu
     last = _drawn(lasts, stream, 0, salt, entity)
     return (
         F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "first", first).when(kind == "last", last).when(kind == "card", card)
-        .when(kind == "secret", secret).when(kind == "iban", tied(2)).when(kind == "phone", tied(1)).otherwise(_redraw(entity, stream, alphabet))
+        .when(kind == "secret", secret).when(kind == "iban", iban).when(kind == "phone", tied(1)).otherwise(_redraw(entity, stream, alphabet))
     )
 
 

@@ -29,6 +29,18 @@ def test_every_shape_alone_is_replaced(spark):
     assert all(r["all"] == r.found == [c] for r, c in zip(full.collect(), cases))
 
 
+def test_valid_ibans_stay_valid(spark):
+    valid = ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "FR1420041010050500013M02606"]
+    rest = lambda s: int("".join(str(int(c, 36)) for c in s.replace(" ", "")[4:] + s[:4])) % 97
+    df = queries.prepared(spark, spark.createDataFrame([(i, f"to {c} now") for i, c in enumerate([*valid, "DE12AB12CD34EF56GH78"])], "doc_id int, text string"))
+    got = {r.doc_id: r.text[3:-4] for r in pii.replace(df, "k").collect()}
+    for i, c in enumerate(valid):
+        assert rest(c) == rest(got[i]) == 1 and got[i] != c and len(got[i]) == len(c) and got[i][:2] == c[:2]
+    accounts = [*valid, *got.values()]
+    rests = spark.createDataFrame([(c.replace(" ", ""),) for c in accounts], "c string").select(pii.iban_rest(pii.F.col("c"))).collect()
+    assert [r[0] for r in rests] == [rest(c) for c in accounts]
+
+
 def test_short_plus_numbers_are_no_phones(spark):
     df = queries.prepared(spark, spark.createDataFrame([(1, "+1 234 and +1 5 20 and +12 3")], "doc_id int, text string"))
     assert pii.replace(df, "k").first().n_replaced == 0
