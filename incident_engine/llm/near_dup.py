@@ -269,9 +269,8 @@ def _left_links(left: DataFrame, texts: DataFrame, classes: DataFrame, percent:
     """Links between different parts of buckets (key, node, part), by pairs of blocks."""
     placed = _blocks(left).checkpoint()
     meetings = _meetings(left, placed)
-    sides = meetings.select("low", "high", F.lit(0).alias("side"), F.col("low").alias("block")).unionByName(
-        meetings.where("low <> high").select("low", "high", F.lit(1).alias("side"), F.col("high").alias("block"))
-    )
+    two = F.array(*(F.struct(F.lit(k).alias("side"), F.col(x).alias("block")) for k, x in enumerate(("low", "high"))))
+    sides = meetings.select("low", "high", F.explode(F.when(F.col("low") == F.col("high"), F.slice(two, 1, 1)).otherwise(two)).alias("x")).select("low", "high", "x.*")
     full = placed.join(classes.select("node", "k1"), "node").join(texts.withColumnRenamed("id", "node"), "node")
     dealt = full.join(sides, "block").select("low", "high", "side", "node", "part", "k1", "text")
 
@@ -344,7 +343,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         parts = components(links)
         left = _unsettled(members, parts).checkpoint()
         fruitful = 2 * found.count() >= pairs.count() > 0
-    if not left.isEmpty():
+    if left.head(1):
         parts = components(links.unionByName(_left_links(left, texts, classes, percent)))
     named = classes.join(parts, "node", "left").select("k1", "k2", F.col("n").alias("size"), F.coalesce("component", "node").alias("component"))
     keyed = real.join(named, (real.k1 == named.k1) & (real.k2 == named.k2) & (real.n == named["size"])).select("id", "n", "component")

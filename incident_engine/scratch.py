@@ -47,3 +47,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def unsized(df: DataFrame) -> DataFrame:
+    """The rows of `df` as a frame of which the planner knows no size.
+
+    A checkpoint keeps the size that was estimated for its plan, and joins multiply estimates. Where a loop
+    joins what its last round wrote with itself, that exact integer doubles its digits each round, until such
+    numbers fill the driver. For narrow rows: each is converted once more.
+    """
+    spark = df.sparkSession
+    return DataFrame(spark._jsparkSession.createDataFrame(df._jdf.toJavaRDD(), df._jdf.schema()), spark)
