@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from incident_engine.scratch import unsized
+
 #: Neighbours per node; rounds at most, and the share of new links under which building ends.
 K, ROUNDS, SETTLED = 20, 6, 0.01
 #: Orders of the first graph, hyperplanes of each, and nodes compared with each other in an order.
@@ -159,7 +161,7 @@ def build(nodes: DataFrame, seed: int = 1) -> DataFrame:
         total, new = graph.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("fresh").cast("int")), F.lit(0))).first()
         if new <= SETTLED * total:
             break
-    return graph
+    return unsized(graph)
 
 
 def _near_one(x: np.ndarray) -> np.ndarray:
@@ -174,7 +176,7 @@ def _scores(asked: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return dot(mine, vectors) / (np.sqrt(dot(mine, mine)) * np.sqrt(dot(vectors, vectors)))
 
 
-#: A search: its vector, the best nodes with their scores and links, all nodes asked for so far, those to score next.
+#: A search: its vector, the best nodes with their scores and, unless opened, links, all nodes asked for so far, those to score next.
 STATE = "q long, asked array<double>, node array<long>, s array<double>, opened array<boolean>, links array<array<long>>, seen array<long>, next array<long>"
 
 
@@ -196,6 +198,8 @@ def _step(met: pa.Table, state: pa.Table) -> pa.Table:
         now = np.flatnonzero(~opened)[:OPENED]
         opened[now] = True
         ahead = np.setdiff1d(np.array([v for i in now for v in links[i]], np.int64), seen)
+        for i in now:
+            links[i] = []  # not needed again, and most of what a search would carry on
     row = {"q": own["q"], "asked": asked, "node": ids, "s": s, "opened": opened, "links": links, "seen": np.append(seen, ahead), "next": ahead}
     return pa.table({n: pa.array([x if n in ("q", "links") else x.tolist()], state.schema.field(n).type) for n, x in row.items()})
 
@@ -220,9 +224,10 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
         F.array().cast("array<array<long>>").alias("links"), first.alias("seen"), first.alias("next"),
     )
     for _ in range(STEPS):
-        met = state.select(F.col("q").alias("asker"), F.explode("next").alias("node")).join(places, "node").select("asker", "node", "vector", "links")
+        ahead = unsized(state.select(F.col("q").alias("asker"), F.explode("next").alias("node")))
+        met = ahead.join(places, "node").select("asker", "node", "vector", "links")
         state = met.groupBy("asker").cogroup(state.groupBy("q")).applyInArrow(_step, STATE).checkpoint()
-        if state.where("size(next) > 0").isEmpty():
+        if not state.where("size(next) > 0").head(1):
             break
     return state.select("q", F.explode(F.arrays_zip("node", "s")).alias("x")).select("q", "x.node", "x.s")
 

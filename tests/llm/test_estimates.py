@@ -2,7 +2,11 @@
 
 import re
 
-from incident_engine.llm import components
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from incident_engine.llm import ann, components
 
 
 def digits(df, capsys):
@@ -41,3 +45,23 @@ def test_a_round_of_components_reads_its_links_once(spark):
 
 def test_no_links_give_no_components(spark):
     assert components.components(spark.createDataFrame([(4, 4)], "a long, b long")).collect() == []
+
+
+def test_a_search_keeps_small_estimates(spark, capsys):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(y) for y in x]) for i, x in enumerate(rng.standard_normal((600, 6)))]
+    found = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 50 == 0)
+    assert digits(found, capsys) < 2000
+    assert found.count() == 5 * 12
+
+
+def test_opened_nodes_carry_no_links():
+    state = {"q": 1, "asked": [1.0, 0.0], "node": [], "s": [], "opened": [], "links": [], "seen": [1, 2], "next": [1, 2]}
+    kinds = {"q": pa.int64(), "asked": pa.list_(pa.float64()), "node": pa.list_(pa.int64()), "s": pa.list_(pa.float64()), "opened": pa.list_(pa.bool_())}
+    kinds |= {"links": pa.list_(pa.list_(pa.int64())), "seen": pa.list_(pa.int64()), "next": pa.list_(pa.int64())}
+    many = [*range(1, 200)]
+    met = {"node": many, "vector": [[1.0, 0.01 * i] for i in many], "links": [[i + 1, 1000 + i] for i in many]}
+    after = ann._step(pa.table(met), pa.table({n: pa.array([state[n]], t) for n, t in kinds.items()})).to_pylist()[0]
+    assert sum(after["opened"]) == ann.OPENED
+    assert all((x == []) == o for x, o in zip(after["links"], after["opened"]))
+    assert set(after["next"]) == ({i + 1 for i in many[: ann.OPENED]} | {1000 + i for i in many[: ann.OPENED]}) - {1, 2}
