@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from incident_engine.scratch import unsized
+from incident_engine.scratch import shuffles_freed, unsized
 
 #: Neighbours per node; rounds at most, and the share of new links under which building ends.
 K, ROUNDS, SETTLED = 20, 6, 0.01
@@ -245,9 +245,11 @@ def nearest(vectors: DataFrame, chosen: Column, k: int = 5, vec_id: str = "vec_i
     order = F.row_number().over(Window.partitionBy("node").orderBy("id"))
     copies = named.withColumn("n", order).where(f"n <= {k + 1}").drop("n").distinct().checkpoint()
     askers = named.where(chosen).select(F.col("id").alias("query_id"), F.col("node").alias("q")).distinct().checkpoint()
-    graph = build(nodes)
+    with shuffles_freed(vectors.sparkSession):
+        graph = build(nodes)
     asked = askers.select("q").distinct().join(nodes.select(F.col("node").alias("q"), "vector"), "q").withColumn("own", F.col("q")).checkpoint()
-    met = search(asked, nodes, graph)
+    with shuffles_freed(vectors.sparkSession):
+        met = search(asked, nodes, graph)
     best = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "id"))
     rows = met.join(copies, "node").withColumn("n", best).where(f"n <= {k + 1}").select("q", "id", "s")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("s"), "id"))

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from incident_engine import scratch
 from incident_engine.llm import ann, components
 
 
@@ -65,3 +66,12 @@ def test_opened_nodes_carry_no_links():
     assert sum(after["opened"]) == ann.OPENED
     assert all((x == []) == o for x, o in zip(after["links"], after["opened"]))
     assert set(after["next"]) == ({i + 1 for i in many[: ann.OPENED]} | {1000 + i for i in many[: ann.OPENED]}) - {1, 2}
+
+
+def test_shuffle_files_of_rounds_go_at_once_and_the_setting_stays(spark):
+    before = spark.conf.get(scratch.CLEANUP, None)
+    with scratch.shuffles_freed(spark):
+        assert spark.conf.get(scratch.CLEANUP) == "true"
+        kept = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().checkpoint()
+    assert spark.conf.get(scratch.CLEANUP, None) == before
+    assert sorted(kept.collect()) == [(k, 1000 // 7 + (k < 1000 % 7)) for k in range(7)]
